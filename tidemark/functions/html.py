@@ -6,6 +6,7 @@ Arrow-batched worker. It returns texts and attributes as found; cleaning is left
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -20,28 +21,35 @@ SILENT_TAGS = frozenset(("script", "style", "template"))
 
 
 class Node:
-    """An element with its children, which are nodes and texts."""
+    """An element with its children, which are nodes and texts.
 
-    def __init__(self, tag: str, attrs: dict[str, str]):
+    Elements are numbered in the order they open. Those inside this one have the numbers between
+    ``start`` and ``end``, so finding them is a look-up in the page's list of each tag.
+    """
+
+    __slots__ = ("tag", "attrs", "children", "start", "end", "index")
+
+    def __init__(self, tag: str, attrs: dict[str, str], start: int, index: dict[str, Tagged]):
         self.tag = tag
         self.attrs = attrs
         self.children: list[Node | str] = []
+        self.start = start
+        self.end = start + 1
+        self.index = index
 
-    def walk(self) -> Iterator[Node]:
-        stack = [c for c in reversed(self.children) if isinstance(c, Node)]
-        while stack:
-            node = stack.pop()
-            yield node
-            stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    def _inside(self, tag: str, css: str | None) -> Iterator[Node]:
+        starts, nodes = self.index.get(tag, ((), ()))
+        for i in range(bisect_right(starts, self.start), bisect_left(starts, self.end)):
+            if css is None or css in nodes[i].attrs.get("class", "").split():
+                yield nodes[i]
 
-    def find_all(self, *tags: str, css: str | None = None) -> list[Node]:
-        return [
-            n for n in self.walk()
-            if n.tag in tags and (css is None or css in n.attrs.get("class", "").split())
-        ]
+    def find_all(self, tag: str, css: str | None = None) -> list[Node]:
+        return list(self._inside(tag, css))
 
     def find(self, *tags: str, css: str | None = None) -> Node | None:
-        return next(iter(self.find_all(*tags, css=css)), None)
+        """The first element of any of these tags."""
+        found = (next(self._inside(tag, css), None) for tag in tags)
+        return min((n for n in found if n), key=lambda n: n.start, default=None)
 
     def text(self) -> str:
         parts: list[str] = []
@@ -56,10 +64,13 @@ class Node:
 
     def only_text(self) -> str | None:
         """The text if this element holds nothing but one text, possibly nested."""
-        if len(self.children) != 1:
-            return None
-        child = self.children[0]
-        return child if isinstance(child, str) else child.only_text()
+        node = self
+        while len(node.children) == 1:
+            child = node.children[0]
+            if isinstance(child, str):
+                return child
+            node = child
+        return None
 
     def first_text(self) -> str:
         """Text of the first child. An element without children is an error."""
@@ -67,25 +78,44 @@ class Node:
         return child if isinstance(child, str) else child.text()
 
 
+# Numbers of the elements of one tag, and the elements.
+Tagged = tuple[list[int], list[Node]]
+
+
 class _Reader(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Node("", {})
+        self.index: dict[str, Tagged] = {}
+        self.count = 0
+        self.root = Node("", {}, -1, self.index)
         self.open = [self.root]
 
-    def handle_starttag(self, tag, attrs):
-        node = Node(tag, {name: value or "" for name, value in attrs})
+    def _add(self, tag, attrs) -> Node:
+        node = Node(tag, {name: value or "" for name, value in attrs}, self.count, self.index)
+        starts, nodes = self.index.setdefault(tag, ([], []))
+        starts.append(self.count)
+        nodes.append(node)
+        self.count += 1
         self.open[-1].children.append(node)
+        return node
+
+    def _close(self, depth: int) -> None:
+        for node in self.open[depth:]:
+            node.end = self.count
+        del self.open[depth:]
+
+    def handle_starttag(self, tag, attrs):
+        node = self._add(tag, attrs)
         if tag not in VOID_TAGS:
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
-        self.open[-1].children.append(Node(tag, {name: value or "" for name, value in attrs}))
+        self._add(tag, attrs)
 
     def handle_endtag(self, tag):
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
-                del self.open[depth:]
+                self._close(depth)
                 return
 
     def handle_data(self, data):
@@ -96,7 +126,11 @@ class _Reader(HTMLParser):
             siblings.append(data)
 
     def handle_comment(self, data):
-        self.open[-1].children.append(Node("!", {}))
+        self._add("!", ())
+
+    def close(self):
+        super().close()
+        self._close(0)
 
 
 def read_page(html: str) -> Node:
@@ -255,9 +289,15 @@ def records(html: Column, read: Callable[[Node], list[dict]], ddl: str, record:
     """Array of the records that ``read`` finds in each page. Only the page text goes to Python."""
     list_type = pa.list_(record)
 
+    def _read(html: str) -> list[dict]:
+        page = read_page(html)
+        found = read(page)
+        page.index.clear()  # The index and its nodes refer to each other; this frees both.
+        return found
+
     @F.arrow_udf(returnType=f"array<struct<{ddl}>>")
     def read_pages(pages: pa.Array) -> pa.Array:
-        found = [None if html is None else read(read_page(html)) for html in pages.to_pylist()]
+        found = [None if html is None else _read(html) for html in pages.to_pylist()]
         return pa.array(found, type=list_type)
 
     return read_pages(html)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidemark.functions.binding import let
+
 
 def payload_key(last_modified: Column) -> Column:
     """16-character key derived from the payload's time in epoch milliseconds.
@@ -13,10 +15,10 @@ def payload_key(last_modified: Column) -> Column:
     in base 36, followed by (year + reversed year) * (day + reversed day) in base 24, padded
     with zeros or cut.
     """
-    at = F.timestamp_millis(last_modified)
-    year, day = (F.date_format(_utc(at), f) for f in ("yyyy", "dd"))
-    total = (year.cast("long") + F.reverse(year).cast("long")) * (
-        day.cast("long") + F.reverse(day).cast("long")
+    date = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(last_modified / 86_400_000).cast("int"))
+    year, day = F.date_format(date, "yyyy"), F.date_format(date, "dd")
+    total = (F.year(date) + F.reverse(year).cast("int")) * (
+        F.dayofmonth(date) + F.reverse(day).cast("int")
     )
     digits = F.concat(
         F.lower(F.conv(last_modified.cast("string"), 16, 36)),
@@ -25,18 +27,16 @@ def payload_key(last_modified: Column) -> Column:
     return F.concat(F.lit("#"), F.rpad(digits, 14, "0"), F.lit("$"))
 
 
-def _utc(at: Column) -> Column:
-    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), at.cast("timestamp_ntz"))
-
-
 def decrypted_text(last_modified: Column, response: Column) -> Column:
     """Text of a base64 AES-CBC payload; NULL if it cannot be decrypted.
 
     The first vector is the upper-cased key. The cipher reads it from the head of its input.
     """
-    key = payload_key(last_modified)
-    message = F.concat(F.encode(F.upper(key), "UTF-8"), F.unbase64(response))
-    plain = F.try_aes_decrypt(message, F.encode(key, "UTF-8"), F.lit("CBC"), F.lit("PKCS"))
+    encrypted = F.unbase64(response)
+    plain = let(payload_key(last_modified), lambda key: F.try_aes_decrypt(
+        F.concat(F.encode(F.upper(key), "UTF-8"), encrypted),
+        F.encode(key, "UTF-8"), F.lit("CBC"), F.lit("PKCS"),
+    ))
     return F.try_validate_utf8(plain.cast("string"))
 
 

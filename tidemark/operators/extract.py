@@ -11,6 +11,7 @@ from tidemark.functions import payload as P
 from tidemark.functions import scores as S
 from tidemark.functions import text as T
 from tidemark.functions import urls as U
+from tidemark.functions.binding import let, rows_where
 
 
 def _explode_records(pages: DataFrame, found: Column) -> DataFrame:
@@ -145,13 +146,17 @@ def page_links(pages: DataFrame) -> DataFrame:
     return _explode_records(pages, found).select("*", "r.*").drop("r")
 
 
-def decrypt_payloads(payloads: DataFrame) -> DataFrame:
-    """Add ``data``, the decrypted JSON text of ``(lastModified, response)``; NULL if unreadable."""
+def _payload_text() -> Column:
+    """Decrypted JSON text of a payload, NULL if it cannot be decrypted or is no JSON."""
     plain = P.decrypted_text(F.col("lastModified"), F.col("response"))
-    return payloads.withColumn("data", F.when(F.try_parse_json(plain).isNotNull(), plain))
+    return let(plain, lambda text: F.when(F.try_parse_json(text).isNotNull(), text))
 
 
-def split_readable(payloads: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Decrypted payloads, and those to set aside."""
-    decrypted = decrypt_payloads(payloads)
-    return decrypted.filter("data IS NOT NULL"), decrypted.filter("data IS NULL").drop("data")
+def readable_payloads(payloads: DataFrame) -> DataFrame:
+    """Payloads ``(…, lastModified, response)`` with ``data``, their decrypted JSON text."""
+    return payloads.withColumn("data", rows_where(_payload_text(), lambda d: d.isNotNull()))
+
+
+def unreadable_payloads(payloads: DataFrame) -> DataFrame:
+    """Payloads to set aside."""
+    return payloads.filter(_payload_text().isNull())

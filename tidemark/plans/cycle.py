@@ -18,7 +18,7 @@ from tidemark.sources.documents import with_records
 
 @dataclass(frozen=True)
 class Cycle:
-    """What a cycle gives; each part is lazy."""
+    """What a cycle gives, as DataFrames."""
 
     calendar: DataFrame
     changes: DataFrame
@@ -65,11 +65,16 @@ def pages_of_targets(targets: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def run_cycle(calendar_pages: DataFrame, results_pages: DataFrame, root_url: str) -> Cycle:
-    """One cycle. A page or record that cannot be read is left out and stops nothing else."""
-    raw = calendar_raw(calendar_pages, root_url)
-    changed = C.calendar_changes(raw)
+    """One cycle. A page or record that cannot be read is left out and stops nothing else.
+
+    The raw calendar, its changes and the flattened matches are stored, as the steps after them
+    read them several times.
+    """
+    raw = L.stored(calendar_raw(calendar_pages, root_url), "calendar")
+    changed = L.stored(C.calendar_changes(raw, guarded=True), "changes")
     wanted = C.targets(changed, root_url)
-    matches = R.all_results(results_raw(pages_of_targets(wanted, results_pages), root_url))
+    fetched = results_raw(pages_of_targets(wanted, results_pages), root_url)
+    matches = L.stored(R.all_results(fetched), "matches")
     latest = R.latest_results(matches)
     return Cycle(
         calendar=C.calendar(raw),

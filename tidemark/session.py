@@ -13,6 +13,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # No call sites in query errors; recording them doubles the time to build a query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # One worker batch holds this many pages, so long pages stay within worker memory.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import payload as P
+from tidemark.session import shared_dir
 
 RECORDS_PER_DOCUMENT = 5000
 
@@ -33,19 +34,22 @@ def with_part(
 
 def collect_records(
     rows: DataFrame, keys: Sequence[str], record_id: Sequence[str], fields: Sequence[str | Column],
-    name: str = "records", limit: int = RECORDS_PER_DOCUMENT,
+    name: str = "records", limit: int = RECORDS_PER_DOCUMENT, partitions: int | None = None,
 ) -> DataFrame:
     """``(keys…, part, name)`` with a list of records, in the order of ``record_id``.
 
     The inverse of a flatten. A list holds about ``limit`` records at most, however many rows
-    share the key.
+    share the key. Collecting cannot shrink the rows, so they are shuffled as they are; a given
+    number of ``partitions`` is kept even where they are small.
     """
     order = F.struct(*record_id).alias("o")
     record = F.struct(*fields).alias("r")
     listed = F.sort_array(F.collect_list(F.struct(order, record)))
+    split = with_part(rows, keys, record_id, limit)
+    by_part = [F.col(k) for k in (*keys, "part")]
+    spread = split.repartition(partitions, *by_part) if partitions else split.repartition(*by_part)
     return (
-        with_part(rows, keys, record_id, limit)
-        .groupBy(*keys, "part").agg(listed.alias("l"))
+        spread.groupBy(*keys, "part").agg(listed.alias("l"))
         .select(*keys, "part", F.col("l.r").alias(name))
     )
 
@@ -86,6 +90,18 @@ def write_documents(docs: DataFrame, path: str, partitions: Sequence[str] = ())
     )
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write rows to a new folder below the shared one and read them from there.
+
+    For what later steps read more than once: they see columns and versions they can skip, and
+    a lost executor does not start the work over.
+    """
+    spark = df.sparkSession
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def manifest(
     docs: DataFrame, endpoint: str, at: Column | None = None, **facts: Column,
 ) -> DataFrame:

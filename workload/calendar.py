@@ -81,6 +81,11 @@ def calendar_raw(spark, sf_dir) -> DataFrame:
     return L.raw_table(docs)
 
 
+def latest_two(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """From a stored raw table. Every document has a record, so versions can be ranked alone."""
+    return C.latest_two(L.stored(calendar_raw(spark, sf_dir), "calendar"), guarded=True)
+
+
 def _query(name: str, relation: str):
     return query(name, f"WITH {CALENDAR_SQL} SELECT * FROM {relation}")
 
@@ -92,28 +97,28 @@ def calendar_all_versions(spark, sf_dir):
 
 @_query("snapshot_current", "cur")
 def snapshot_current(spark, sf_dir):
-    return C.latest_two(calendar_raw(spark, sf_dir))[0].drop("meta_file_name")
+    return latest_two(spark, sf_dir)[0].drop("meta_file_name")
 
 
 @_query("snapshot_previous", "prev")
 def snapshot_previous(spark, sf_dir):
-    return C.latest_two(calendar_raw(spark, sf_dir))[1].drop("meta_file_name")
+    return latest_two(spark, sf_dir)[1].drop("meta_file_name")
 
 
 @_query("newly_completed", "newly")
 def newly_completed(spark, sf_dir):
-    return C.newly_completed(*C.latest_two(calendar_raw(spark, sf_dir))).drop("meta_file_name")
+    return C.newly_completed(*latest_two(spark, sf_dir)).drop("meta_file_name")
 
 
 @_query("currently_ongoing", "going")
 def currently_ongoing(spark, sf_dir):
-    current, _ = C.latest_two(calendar_raw(spark, sf_dir))
+    current, _ = latest_two(spark, sf_dir)
     return C.ongoing(current).drop("meta_file_name")
 
 
 @_query("calendar_changes", "changes")
 def calendar_changes(spark, sf_dir):
-    return C.calendar_changes(calendar_raw(spark, sf_dir)).drop("meta_file_name")
+    return C.changes(*latest_two(spark, sf_dir)).drop("meta_file_name")
 
 
 @query("scrape_targets", f"""
@@ -123,7 +128,7 @@ def calendar_changes(spark, sf_dir):
     FROM changes
 """)
 def scrape_targets(spark, sf_dir):
-    return C.targets(C.calendar_changes(calendar_raw(spark, sf_dir)), ROOT)
+    return C.targets(C.changes(*latest_two(spark, sf_dir)), ROOT)
 
 
 @query("orders_became_final", """

@@ -8,6 +8,7 @@ from tidemark.functions import payload as P
 from tidemark.functions import scores as S
 from tidemark.functions import text as T
 from tidemark.functions import urls as U
+from tidemark.functions.binding import let
 from tidemark.operators import extract as E
 from workload.registry import DATA_ROOT, ROOT, query, table
 
@@ -268,16 +269,15 @@ def event_payloads(spark, sf_dir):
     millis = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("bigint")
     utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts"))
     rows = table(spark, sf_dir, "events").withColumn("ts", utc).select(
-        "event_id", "props", millis.alias("lastModified")
+        "event_id", "event_type", "props", millis.alias("lastModified")
     )
-    key = P.payload_key(F.col("lastModified"))
-    message = F.aes_encrypt(
+    message = let(P.payload_key(F.col("lastModified")), lambda key: F.aes_encrypt(
         F.encode("props", "UTF-8"), F.encode(key, "UTF-8"), F.lit("CBC"), F.lit("PKCS"),
         F.encode(F.upper(key), "UTF-8"),
-    )
+    ))
     # The cipher puts its first vector in front; the source does not send it.
     response = F.base64(F.substring(message, 17, 2147483647))
-    return rows.select("event_id", "lastModified", response.alias("response"))
+    return rows.select("event_id", "event_type", "lastModified", response.alias("response"))
 
 
 @query("payload_key", KEY_SQL)
@@ -290,8 +290,7 @@ def payload_key(spark, sf_dir):
 
 @query("payload_decrypt", "SELECT event_id, props AS data, json_extract(props, '$.k')::INT AS k FROM events")
 def payload_decrypt(spark, sf_dir):
-    readable, _ = E.split_readable(event_payloads(spark, sf_dir))
-    return readable.select(
+    return E.readable_payloads(event_payloads(spark, sf_dir)).select(
         "event_id", "data", F.variant_get(F.parse_json("data"), "$.k", "int").alias("k")
     )
 
@@ -299,8 +298,6 @@ def payload_decrypt(spark, sf_dir):
 @query("payload_quarantine", "SELECT event_id FROM events WHERE event_type = 'error'")
 def payload_quarantine(spark, sf_dir):
     """Payloads of error events arrive cut short; only those are set aside."""
-    kinds = table(spark, sf_dir, "events").select("event_id", "event_type")
     cut = F.when(F.col("event_type") == "error", F.base64(F.encode(F.lit("broken"), "UTF-8")))
-    payloads = event_payloads(spark, sf_dir).join(kinds, "event_id")
-    _, unreadable = E.split_readable(payloads.withColumn("response", F.coalesce(cut, "response")))
-    return unreadable.select("event_id")
+    received = event_payloads(spark, sf_dir).withColumn("response", F.coalesce(cut, "response"))
+    return E.unreadable_payloads(received).select("event_id")

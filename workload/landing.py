@@ -234,15 +234,13 @@ def recent_loads_top10(spark, sf_dir):
 
 @query("ledger_new_files", """
     SELECT DISTINCT 'incoming/' || strftime(ts, '%Y%m%d') || '.json' AS meta_file_name FROM events
-    WHERE date_trunc('day', ts) NOT IN
-          (SELECT date_trunc('day', ts) FROM events GROUP BY 1 HAVING max(value) < 300)
+    WHERE date_trunc('day', ts) NOT IN (SELECT date_trunc('day', ts) FROM events WHERE day(ts) <= 15)
 """)
 def ledger_new_files(spark, sf_dir):
-    """Files of days that the ledger lacks; it holds the days without a value of 300 or more."""
-    events = events_by_day(spark, sf_dir)
+    """Files of days that the ledger lacks; it holds those up to the middle of the month."""
     name = F.concat(F.lit("incoming/"), F.date_format("day", "yyyyMMdd"), F.lit(".json"))
-    days = events.groupBy("day").agg(F.max("value").alias("top"))
-    ledger = days.filter("top < 300").select(name.alias("file_uri"))
+    days = events_by_day(spark, sf_dir).select("day").distinct()
+    ledger = days.filter(F.dayofmonth("day") <= 15).select(name.alias("file_uri"))
     return G.new_files(days.select(name.alias("meta_file_name")), ledger)
 
 

@@ -15,7 +15,7 @@ from tidemark.sources import landing as L
 from workload.calendar import CALENDAR_SQL, calendar_raw
 from workload.landing import order_details
 from workload.registry import query, table
-from workload.results import MATCH_SQL, AS_WRITTEN_SQL, EVENT_NAMES, match_raw
+from workload.results import AS_WRITTEN_SQL, EVENT_NAMES, MATCH_SQL, stored_matches
 
 
 @query("dq_not_null", """
@@ -71,10 +71,10 @@ def dq_unique_expr(spark, sf_dir):
 """)
 def dq_all_checks(spark, sf_dir):
     """Every check of the five relations, and one that must fail: most calendars lack addresses."""
-    raw = calendar_raw(spark, sf_dir)
-    calendar, changes = C.calendar(raw), C.calendar_changes(raw)
+    raw = L.stored(calendar_raw(spark, sf_dir), "calendar")
+    calendar, changes = C.calendar(raw), C.calendar_changes(raw, guarded=True)
     details = tournaments(L.raw_table(order_details(spark, sf_dir)), whole_version=True)
-    matches = R.all_results(match_raw(spark, sf_dir))
+    matches = stored_matches(spark, sf_dir)
     latest, new = R.latest_results(matches, ["score"]), R.new_results(matches, tiebreak=["score"])
     file_key, match_key = ["tournament_id", "meta_file_modified"], list(R.MATCH_KEY)
     return reduce(DataFrame.unionByName, [

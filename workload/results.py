@@ -79,6 +79,10 @@ def match_raw(spark, sf_dir) -> DataFrame:
     return L.raw_table(docs)
 
 
+def stored_matches(spark, sf_dir) -> DataFrame:
+    return L.stored(R.all_results(match_raw(spark, sf_dir)), "matches")
+
+
 @query("match_results", f"WITH {MATCH_SQL} SELECT * FROM latest")
 def match_results(spark, sf_dir):
     rows = R.all_results(match_raw(spark, sf_dir))
@@ -89,7 +93,7 @@ def match_results(spark, sf_dir):
     WITH {MATCH_SQL}, {AS_WRITTEN_SQL.format(**EVENT_NAMES)} SELECT {NEW_COLUMNS} FROM found
 """)
 def new_results_as_written(spark, sf_dir):
-    rows = R.all_results(match_raw(spark, sf_dir))
+    rows = stored_matches(spark, sf_dir)
     return R.new_results(rows, "as_written", ["score"]).drop("meta_file_name")
 
 
@@ -97,7 +101,7 @@ def new_results_as_written(spark, sf_dir):
     WITH {MATCH_SQL}, {INTENDED_SQL.format(**EVENT_NAMES)} SELECT {NEW_COLUMNS} FROM found
 """)
 def new_results_intended(spark, sf_dir):
-    rows = R.all_results(match_raw(spark, sf_dir))
+    rows = stored_matches(spark, sf_dir)
     return R.new_results(rows, "intended", ["score"]).drop("meta_file_name")
 
 

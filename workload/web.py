@@ -22,7 +22,7 @@ from workload.results import match_rows
     l AS (SELECT page_id, title, heading, generate_subscripts(links, 1) - 1 AS position, unnest(links) AS link FROM p),
     decoded AS (
         SELECT page_id, position::INT AS position, [
-            replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&')
+            regexp_replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;?', '&', 'g')
             for x in [title, heading, regexp_extract(link, 'href="([^"]*)"', 1),
                       regexp_extract(link, '(?s)>(.*?)</a>', 1)]] AS v
         FROM l)
@@ -40,8 +40,14 @@ def _join(*parts: str | Column) -> Column:
 
 
 def _pages(rows: DataFrame, keys: list[str], record_id: list[str], block: Column, wrap: tuple[str, str]) -> DataFrame:
-    """One page per key, in parts where there are many blocks."""
-    listed = L.collect_records(rows, keys, record_id, [block.alias("b")], "blocks", limit=500)
+    """One page per key, in parts where there are many blocks.
+
+    Reading a page takes far longer than its size suggests. A fixed number of partitions keeps
+    small pages from being merged into a few long tasks.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block = block.alias("b")
+    listed = L.collect_records(rows, keys, record_id, [block], "blocks", limit=100, partitions=n)
     html = F.concat(F.lit(wrap[0]), F.array_join("blocks.b", "\n"), F.lit(wrap[1]))
     return listed.select(*keys, "part", html.alias("html"))
 
