@@ -6,8 +6,11 @@ Arrow-batched worker. It returns texts and attributes as found; cleaning is left
 
 from __future__ import annotations
 
+import gc
+import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator
+from html import parser, unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -82,62 +85,139 @@ class Node:
 Tagged = tuple[list[int], list[Node]]
 
 
-class _Reader(HTMLParser):
+class _Tree:
+    """Builds the nodes of a page from its tags and texts."""
+
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.index: dict[str, Tagged] = {}
         self.count = 0
         self.root = Node("", {}, -1, self.index)
         self.open = [self.root]
 
-    def _add(self, tag, attrs) -> Node:
-        node = Node(tag, {name: value or "" for name, value in attrs}, self.count, self.index)
+    def start(self, tag: str, attrs: dict[str, str], closed: bool = False) -> None:
+        node = Node(tag, attrs, self.count, self.index)
         starts, nodes = self.index.setdefault(tag, ([], []))
         starts.append(self.count)
         nodes.append(node)
         self.count += 1
         self.open[-1].children.append(node)
-        return node
+        if not closed and tag not in VOID_TAGS:
+            self.open.append(node)
 
-    def _close(self, depth: int) -> None:
+    def end(self, tag: str) -> None:
+        for depth in range(len(self.open) - 1, 0, -1):
+            if self.open[depth].tag == tag:
+                self.close(depth)
+                return
+
+    def close(self, depth: int = 0) -> None:
         for node in self.open[depth:]:
             node.end = self.count
         del self.open[depth:]
 
+    def text(self, text: str) -> None:
+        siblings = self.open[-1].children
+        if siblings and isinstance(siblings[-1], str):
+            siblings[-1] += text
+        else:
+            siblings.append(text)
+
+
+class _Reader(HTMLParser):
+    """Reads any page, however broken."""
+
+    def __init__(self, tree: _Tree):
+        super().__init__(convert_charrefs=True)
+        self.tree = tree
+
     def handle_starttag(self, tag, attrs):
-        node = self._add(tag, attrs)
-        if tag not in VOID_TAGS:
-            self.open.append(node)
+        self.tree.start(tag, {name: value or "" for name, value in attrs})
 
     def handle_startendtag(self, tag, attrs):
-        self._add(tag, attrs)
+        self.tree.start(tag, {name: value or "" for name, value in attrs}, closed=True)
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                self._close(depth)
-                return
+        self.tree.end(tag)
 
     def handle_data(self, data):
-        siblings = self.open[-1].children
-        if siblings and isinstance(siblings[-1], str):
-            siblings[-1] += data
-        else:
-            siblings.append(data)
+        self.tree.text(data)
 
     def handle_comment(self, data):
-        self._add("!", ())
+        self.tree.start("!", {}, closed=True)
+
 
-    def close(self):
-        super().close()
-        self._close(0)
+# Markup that is written as it should be. Anything else is left to the reader above.
+_ATTRIBUTE = r"""\s+([^\s"'<>/=]+)(?:="([^"]*)"|='([^']*)')?(?=[\s/>]|$)"""
+_ATTRIBUTES = re.compile(_ATTRIBUTE)
+_TAG = re.compile(
+    r"<(?:/([a-zA-Z][a-zA-Z0-9-]*)|([a-zA-Z][a-zA-Z0-9-]*)((?:%s)*)\s*(/?))>"
+    % re.sub(r"\((?!\?)", "(?:", _ATTRIBUTE)
+)
+_NO_TAG = re.compile(r"<(?:(!--)(?!-?>)[^-]*(?:-[^-]+)*--|!DOCTYPE[^>\[]*)>", re.IGNORECASE)
+_RAW_TEXT = {tag: re.compile(rf"</{tag}>", re.IGNORECASE) for tag in ("script", "style")}
+_ODD_TAGS = frozenset("iframe noembed noframes noscript plaintext textarea xmp".split())
+_attribute_text = getattr(parser, "_unescape_attribute", unescape)
+
+
+def _read_plain(html: str, tree: _Tree) -> bool:
+    """Build the tree of a page whose markup is all plain; False where it is not."""
+    at = 0
+    in_title = False
+    while True:
+        tag_at = html.find("<", at)
+        text = html[at:] if tag_at < 0 else html[at:tag_at]
+        if text:
+            tree.text(unescape(text) if "&" in text else text)
+        if tag_at < 0:
+            return not in_title
+        found = _TAG.match(html, tag_at)
+        if found is None:
+            found = None if in_title else _NO_TAG.match(html, tag_at)
+            if found is None:
+                return False
+            if found[1]:
+                tree.start("!", {}, closed=True)
+            at = found.end()
+            continue
+        at = found.end()
+        if found[1]:
+            tag = found[1].lower()
+            if in_title and tag != "title":
+                return False
+            in_title = False
+            tree.end(tag)
+            continue
+        tag = found[2].lower()
+        if in_title or tag in _ODD_TAGS:
+            return False
+        attrs = {}
+        for name, double, single in _ATTRIBUTES.findall(found[3]):
+            value = double or single
+            attrs[name.lower()] = _attribute_text(value) if "&" in value else value
+        tree.start(tag, attrs, closed=bool(found[4]))
+        if found[4]:
+            continue
+        in_title = tag == "title"
+        if tag in _RAW_TEXT:
+            ended = _RAW_TEXT[tag].search(html, at)
+            content = html[at:ended.start()] if ended else "<!--"
+            if "<!--" in content or f"</{tag}" in content.lower():
+                return False
+            if content:
+                tree.text(content)
+            tree.end(tag)
+            at = ended.end()
 
 
 def read_page(html: str) -> Node:
-    reader = _Reader()
-    reader.feed(html)
-    reader.close()
-    return reader.root
+    tree = _Tree()
+    if not _read_plain(html, tree):
+        tree = _Tree()
+        reader = _Reader(tree)
+        reader.feed(html)
+        reader.close()
+    tree.close()
+    return tree.root
 
 
 # Calendar pages ---------------------------------------------------------------------------
@@ -289,7 +369,9 @@ def records(html: Column, read: Callable[[Node], list[dict]], ddl: str, record:
     """Array of the records that ``read`` finds in each page. Only the page text goes to Python."""
     list_type = pa.list_(record)
 
-    def _read(html: str) -> list[dict]:
+    def read_one(html: str | None) -> list[dict] | None:
+        if html is None:
+            return None
         page = read_page(html)
         found = read(page)
         page.index.clear()  # The index and its nodes refer to each other; this frees both.
@@ -297,7 +379,11 @@ def records(html: Column, read: Callable[[Node], list[dict]], ddl: str, record:
 
     @F.arrow_udf(returnType=f"array<struct<{ddl}>>")
     def read_pages(pages: pa.Array) -> pa.Array:
-        found = [None if html is None else _read(html) for html in pages.to_pylist()]
-        return pa.array(found, type=list_type)
+        # Pages free themselves, so looking for cycles among their many nodes is wasted time.
+        gc.disable()
+        try:
+            return pa.array([read_one(html) for html in pages.to_pylist()], type=list_type)
+        finally:
+            gc.enable()
 
     return read_pages(html)

@@ -36,7 +36,8 @@ def set_scores(block: Column) -> Column:
 
 def brackets_last(score: Column) -> Column:
     """Move the first bracketed part to the end: ``7(5)6`` to ``76(5)``."""
-    return F.regexp_replace(score, r"(?s)^([^(]*)(\([^)]*\))(.*)$", "$1$3$2")
+    moved = F.regexp_replace(score, r"(?s)^([^(]*)(\([^)]*\))(.*)$", "$1$3$2")
+    return F.when(score.contains("("), moved).otherwise(score)
 
 
 def match_score(blocks: Column) -> Column:

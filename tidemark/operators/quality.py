@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -23,17 +23,23 @@ def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def suite(
-    relation: str, df: DataFrame, not_nulls: Sequence[str] = (), uniques: Sequence[Sequence[str]] = (),
+    relation: str, df: DataFrame, not_nulls: Sequence[str] = (), key: Sequence[str] = (),
 ) -> DataFrame:
-    """``(check, failures)`` for the checks of one relation. All NULLs are counted in one pass."""
-    counts = [F.count_if(F.col(c).isNull()).alias(c) for c in not_nulls]
-    pairs = [
-        F.struct(F.lit(f"{relation}.{c} not null").alias("check"), F.col(c).alias("failures"))
-        for c in not_nulls
-    ]
-    results = [df.agg(*counts).select(F.inline(F.array(*pairs)))] if not_nulls else []
-    for keys in uniques:
-        failing = unique(df, keys).agg(F.count("*").alias("failures"))
-        name = f"{relation}.{'|'.join(keys)} unique"
-        results.append(failing.select(F.lit(name).alias("check"), "failures"))
-    return reduce(DataFrame.unionByName, results)
+    """``(check, failures)`` for the checks of one relation, all counted in one pass.
+
+    Rows are counted per ``key`` with map-side partial counts, so a key with very many rows
+    costs no more than any other.
+    """
+    nulls = [F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in not_nulls]
+    per_key = df.groupBy(*key).agg(F.count("*").alias("_n"), *nulls)
+    complete = reduce(Column.__and__, [F.col(k).isNotNull() for k in key], F.lit(True))
+    totals = {
+        f"{relation}.{c} not null": F.coalesce(F.sum(f"_null_{c}"), F.lit(0)) for c in not_nulls
+    }
+    if key:
+        totals[f"{relation}.{'|'.join(key)} unique"] = F.count_if((F.col("_n") > 1) & complete)
+    counted = per_key.agg(F.array(*[
+        F.struct(F.lit(name).alias("check"), total.alias("failures"))
+        for name, total in totals.items()
+    ]).alias("_checks"))
+    return counted.select(F.inline("_checks"))

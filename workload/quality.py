@@ -78,9 +78,9 @@ def dq_all_checks(spark, sf_dir):
     latest, new = R.latest_results(matches, ["score"]), R.new_results(matches, tiebreak=["score"])
     file_key, match_key = ["tournament_id", "meta_file_modified"], list(R.MATCH_KEY)
     return reduce(DataFrame.unionByName, [
-        Q.suite("calendar", calendar, [*file_key, "url"], [file_key]),
-        Q.suite("changes", changes, ["tournament_id", "url"], [["tournament_id"]]),
-        Q.suite("tournaments", details, ["tournament_id"], [["tournament_id"]]),
-        Q.suite("results", latest, match_key, [match_key]),
+        Q.suite("calendar", calendar, [*file_key, "url"], file_key),
+        Q.suite("changes", changes, ["tournament_id", "url"], ["tournament_id"]),
+        Q.suite("tournaments", details, ["tournament_id"], ["tournament_id"]),
+        Q.suite("results", latest, match_key, match_key),
         Q.suite("new", new, ["match_id", "tournament_id"]),
     ])
