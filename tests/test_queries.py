@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from check import canonical, duck
+from check import canonical, duck, same_types
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -25,6 +25,6 @@ def test_entry_has_rows(spark):
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF_DIR)
     cursor = con.execute(entry.oracle_sql()[name])
+    assert same_types(df.dtypes, cursor.description)
     columns = [d[0] for d in cursor.description]
-    assert sorted(df.columns) == sorted(columns)
     assert canonical(df.columns, df.collect()) == canonical(columns, cursor.fetchall())

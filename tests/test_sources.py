@@ -54,6 +54,16 @@ def test_malformed_files(spark, tmp_path):
         D.raw_rows(scanned).collect()
 
 
+@pytest.mark.parametrize("text, expected", [
+    ('{"a": 1}', True), (' [1]\n', True), ("null", True), ("", False), (" ", False), ('{"a": 1', False),
+    ('{"a": 1} x', False), ('{"a": 1}]', False), ('{"a": 1}}', False), ("1, 2", False), ("1], [0", False),
+    ("1,0,null", False), ("1,0", False), (None, False),
+])
+def test_well_formed(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "data string")
+    assert df.select(D.well_formed(F.col("data"))).first()[0] is expected
+
+
 @pytest.mark.parametrize("as_table", [True, False])
 def test_load_appends_and_counts(spark, tmp_path, as_table):
     put(tmp_path / "in", "a.json", document(1, {"k": "1"}))

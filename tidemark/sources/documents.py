@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fixed
 from tidemark.functions import json_values as J
+from tidemark.functions.binding import let
 
 
 def scan_documents(
@@ -34,7 +35,15 @@ def retrieved_at(data: Column, strict: bool = True) -> Column:
 
 
 def well_formed(data: Column) -> Column:
-    return F.try_parse_json(data).isNotNull()
+    """Whether a text is one JSON value and nothing else.
+
+    The parser stops behind the first value. As the first element of a list that ends in a zero,
+    the text is followed by exactly that only if nothing else follows it.
+    """
+    listed = F.try_parse_json(F.concat(F.lit("["), data, F.lit(",0]")))
+    only = let(listed, lambda v: (F.try_variant_get(v, "$[1]", "int") == 0)
+               & F.try_variant_get(v, "$[2]", "variant").isNull())
+    return F.coalesce(only, F.lit(False))
 
 
 def raw_rows(scanned: DataFrame, strict: bool = True) -> DataFrame:

@@ -61,6 +61,23 @@ def raw_blob_load(spark, sf_dir):
     return records_by_version(D.raw_source(spark, raw))
 
 
+@query("malformed_documents", """
+    SELECT event_id::VARCHAR || '.json' AS meta_file_name, event_type <> 'signup' AS loaded
+    FROM events WHERE event_type IN ('signup', 'view')
+""")
+def malformed_documents(spark, sf_dir):
+    """A file per event. Those of sign-ups lack their end or go on behind it, and are set aside."""
+    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("signup", "view"))
+    broken = F.when(F.col("value") < 50, F.rtrim("props", F.lit("}"))).otherwise(F.concat("props", F.lit(" }")))
+    scanned = events.select(
+        F.when(F.col("event_type") == "signup", broken).otherwise(F.col("props")).alias("data"),
+        F.concat(F.col("event_id"), F.lit(".json")).alias("meta_file_name"),
+    )
+    loaded = D.raw_rows(scanned, strict=False).select("meta_file_name", F.lit(True).alias("loaded"))
+    aside = D.quarantined(scanned).select("meta_file_name", F.lit(False).alias("loaded"))
+    return loaded.unionByName(aside)
+
+
 @query("records_per_document", EVENTS_PER_DAY)
 def records_per_document(spark, sf_dir):
     raw = event_raw(spark, sf_dir)

@@ -2,20 +2,15 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as Q
-from tidemark.plans import calendar as C
-from tidemark.plans import results as R
-from tidemark.plans.tournaments import tournaments
+from tidemark.plans.staging import checks, staging
 from tidemark.sources import landing as L
 from workload.calendar import CALENDAR_SQL, calendar_raw
 from workload.landing import order_details
 from workload.registry import query, table
-from workload.results import AS_WRITTEN_SQL, EVENT_NAMES, MATCH_SQL, stored_matches
+from workload.results import AS_WRITTEN_SQL, EVENT_NAMES, MATCH_SQL, match_raw
 
 
 @query("dq_not_null", """
@@ -51,10 +46,12 @@ def dq_unique_expr(spark, sf_dir):
       ('calendar.meta_file_modified not null', (SELECT count(*) FROM cal WHERE meta_file_modified IS NULL)),
       ('calendar.tournament_id|meta_file_modified unique', (SELECT count(*) FROM (
           SELECT 1 FROM cal GROUP BY tournament_id || '|' || meta_file_modified HAVING count(*) > 1))),
-      ('calendar.url not null', (SELECT count(*) FROM cal WHERE url IS NULL)),
-      ('changes.tournament_id not null', (SELECT count(*) FROM changes WHERE tournament_id IS NULL)),
-      ('changes.url not null', (SELECT count(*) FROM changes WHERE url IS NULL)),
-      ('changes.tournament_id unique', (SELECT count(*) FROM (
+      ('links.url not null', (SELECT count(*) FROM cal WHERE url IS NULL)),
+      ('links.url|meta_file_modified unique', (SELECT count(*) FROM (
+          SELECT 1 FROM cal WHERE url IS NOT NULL GROUP BY url, meta_file_modified HAVING count(*) > 1))),
+      ('calendar_changes.tournament_id not null', (SELECT count(*) FROM changes WHERE tournament_id IS NULL)),
+      ('calendar_changes.url not null', (SELECT count(*) FROM changes WHERE url IS NULL)),
+      ('calendar_changes.tournament_id unique', (SELECT count(*) FROM (
           SELECT 1 FROM changes GROUP BY tournament_id HAVING count(*) > 1))),
       ('tournaments.tournament_id not null', (SELECT count(*) FROM details WHERE o_orderkey IS NULL)),
       ('tournaments.tournament_id unique', (SELECT count(*) FROM (
@@ -65,22 +62,15 @@ def dq_unique_expr(spark, sf_dir):
       ('results.year|tournament_id|match_id unique', (SELECT count(*) FROM (
           SELECT 1 FROM latest GROUP BY "year" || '|' || tournament_id || '|' || match_id
           HAVING count(*) > 1))),
-      ('new.match_id not null', (SELECT count(*) FROM found WHERE match_id IS NULL)),
-      ('new.tournament_id not null', (SELECT count(*) FROM found WHERE tournament_id IS NULL))
+      ('new_results.match_id not null', (SELECT count(*) FROM found WHERE match_id IS NULL)),
+      ('new_results.tournament_id not null', (SELECT count(*) FROM found WHERE tournament_id IS NULL))
     ) t("check", failures)
 """)
 def dq_all_checks(spark, sf_dir):
-    """Every check of the five relations, and one that must fail: most calendars lack addresses."""
-    raw = L.stored(calendar_raw(spark, sf_dir), "calendar")
-    calendar, changes = C.calendar(raw), C.calendar_changes(raw, guarded=True)
-    details = tournaments(L.raw_table(order_details(spark, sf_dir)), whole_version=True)
-    matches = stored_matches(spark, sf_dir)
-    latest, new = R.latest_results(matches, ["score"]), R.new_results(matches, tiebreak=["score"])
-    file_key, match_key = ["tournament_id", "meta_file_modified"], list(R.MATCH_KEY)
-    return reduce(DataFrame.unionByName, [
-        Q.suite("calendar", calendar, [*file_key, "url"], file_key),
-        Q.suite("changes", changes, ["tournament_id", "url"], ["tournament_id"]),
-        Q.suite("tournaments", details, ["tournament_id"], ["tournament_id"]),
-        Q.suite("results", latest, match_key, match_key),
-        Q.suite("new", new, ["match_id", "tournament_id"]),
-    ])
+    """Every check of the five relations, and two on a relation where one of them must fail."""
+    calendar = L.stored(calendar_raw(spark, sf_dir), "calendar")
+    details = L.stored(L.raw_table(order_details(spark, sf_dir)), "details")
+    matches = L.stored(match_raw(spark, sf_dir), "matches")
+    relations = staging(calendar, details, matches, guarded=True, whole_version=True)
+    links = Q.suite("links", relations["calendar"], ["url"], ["url", "meta_file_modified"])
+    return checks(relations).unionByName(links)

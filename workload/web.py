@@ -109,7 +109,7 @@ def calendar_pages(spark, sf_dir):
     )
     pages = _pages(table(spark, sf_dir, "customer"), ["c_nationkey"], ["c_custkey"], block, CALENDAR_PAGE)
     found = E.calendar_records(
-        pages.select(nation.alias("page_id"), (nation.cast("bigint") + 2000).alias("year"), "html"), ROOT
+        pages.select(nation.alias("page_id"), (nation + 2000).alias("year"), "html"), ROOT
     )
     return found.withColumn("doubles_winner", F.array_join("doubles_winner", ", ")).drop("position")
 
