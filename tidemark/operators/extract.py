@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,127 +21,174 @@ def _explode_records(pages: DataFrame, found: Column) -> DataFrame:
     return pages.select(*carried, F.posexplode(found).alias("position", "r"))
 
 
+def _page_lists(
+    pages: DataFrame, found: Column, keep: Callable[[Column], Column], record: Callable[[Column], Column],
+) -> DataFrame:
+    """One row per page with ``data``, the list of its records; pages without any are left out.
+
+    A page's records stay together, so nothing is shuffled, and the page is read once.
+    """
+    carried = [c for c in pages.columns if c != "html"]
+    records = F.transform(F.filter(found, keep), record)
+    return pages.select(*carried, rows_where(records, lambda r: F.size(r) > 0).alias("data"))
+
+
+# Calendar pages ---------------------------------------------------------------------------
+
+
+def _calendar_found() -> Column:
+    return H.records(F.col("html"), H.calendar_events, H.CALENDAR_DDL, H.CALENDAR_RECORD)
+
+
+def _readable_event(r: Column) -> Column:
+    return r["error"].isNull()
+
+
+def _calendar_record(r: Column, root_url: str) -> Column:
+    return F.struct(
+        F.col("year").alias("year"),
+        T.strip(r["name"]).alias("tournament"),
+        U.profile_id(r["profile_href"]).alias("tournament_id"),
+        F.coalesce(T.strip(r["badge"]), F.lit(fixed.OTHER_CATEGORY)).alias("category"),
+        T.venue_city(r["venue"]).alias("city"),
+        T.venue_country(r["venue"]).alias("country"),
+        F.coalesce(T.strip(r["dates"]), F.lit("")).alias("dates"),
+        T.singles_winner(r["winners"]).alias("singles_winner"),
+        T.doubles_winners(r["winners"]).alias("doubles_winner"),
+        F.concat(F.lit(root_url), r["results_href"]).alias("url"),
+    )
+
+
 def calendar_candidates(pages: DataFrame) -> DataFrame:
     """All event blocks of calendar pages, readable or not; column ``html`` is consumed."""
-    return _explode_records(
-        pages, H.records(F.col("html"), H.calendar_events, H.CALENDAR_DDL, H.CALENDAR_RECORD)
-    )
+    return _explode_records(pages, _calendar_found())
 
 
 def calendar_records(pages: DataFrame, root_url: str) -> DataFrame:
     """Tournaments of calendar pages ``(…, year, html)``. Unreadable blocks are left out."""
-    r = lambda name: F.col(f"r.{name}")
-    events = calendar_candidates(pages).filter("r.error IS NULL")
-    return events.select(
-        *[c for c in pages.columns if c not in ("html", "year")],
-        "position",
-        "year",
-        T.strip(r("name")).alias("tournament"),
-        U.profile_id(r("profile_href")).alias("tournament_id"),
-        F.coalesce(T.strip(r("badge")), F.lit(fixed.OTHER_CATEGORY)).alias("category"),
-        T.venue_city(r("venue")).alias("city"),
-        T.venue_country(r("venue")).alias("country"),
-        F.coalesce(T.strip(r("dates")), F.lit("")).alias("dates"),
-        T.singles_winner(r("winners")).alias("singles_winner"),
-        T.doubles_winners(r("winners")).alias("doubles_winner"),
-        F.concat(F.lit(root_url), r("results_href")).alias("url"),
+    r = F.col("r")
+    carried = [c for c in pages.columns if c not in ("html", "year")]
+    events = calendar_candidates(pages).filter(_readable_event(r))
+    return events.select(*carried, "position", _calendar_record(r, root_url).alias("c")).select(
+        *carried, "position", "c.*"
     )
 
 
+def calendar_lists(pages: DataFrame, root_url: str) -> DataFrame:
+    """The same tournaments as one list ``data`` per page."""
+    return _page_lists(
+        pages, _calendar_found(), _readable_event, lambda r: _calendar_record(r, root_url)
+    )
+
+
+# Results pages ----------------------------------------------------------------------------
+
+
+def _matches_found() -> Column:
+    return H.records(F.col("html"), H.matches, H.MATCH_DDL, H.MATCH_RECORD)
+
+
 def match_candidates(pages: DataFrame) -> DataFrame:
     """All match blocks of results pages, readable or not; column ``html`` is consumed."""
-    return _explode_records(
-        pages, H.records(F.col("html"), H.matches, H.MATCH_DDL, H.MATCH_RECORD)
-    )
+    return _explode_records(pages, _matches_found())
 
 
-def readable_match() -> Column:
+def readable_match(r: Column) -> Column:
     """Whether a match block yields a record.
 
     Players' addresses must hold an id. Partners in doubles all need a name and an address, and
     all or none of them a seed where the first or third has one.
     """
-    players, count = F.col("r.players"), F.size("r.players")
-    has_id = lambda p: U.player_id(p["href"]).isNotNull()
+    players, count = r["players"], F.size(r["players"])
     at = lambda i: F.get(players, F.lit(i))
-    any_lead_seed = at(0)["seed"].isNotNull() | at(2)["seed"].isNotNull()
+    has_id = lambda p: U.player_id(p["href"]).isNotNull()
+    lead_seed = at(0)["seed"].isNotNull() | at(2)["seed"].isNotNull()
     singles = F.forall(players, lambda p: p["href"].isNull() | has_id(p))
     doubles = F.forall(players, lambda p: p["name"].isNotNull() & F.coalesce(has_id(p), F.lit(False)))
-    seeds = ~any_lead_seed | F.forall(players, lambda p: p["seed"].isNotNull())
+    seeds = ~lead_seed | F.forall(players, lambda p: p["seed"].isNotNull())
     return (
-        F.col("r.error").isNull()
-        & S.match_score(F.col("r.scores")).isNotNull()
+        r["error"].isNull()
         & F.when(count == 2, singles).when(count == 4, doubles & seeds).otherwise(F.lit(True))
+        & S.match_score(r["scores"]).isNotNull()
     )
 
 
-def _player(i: int) -> Column:
-    return F.get("r.players", F.lit(i))
-
-
-def _side(first: int, field) -> Column:
+def _side(r: Column, first: int, field: Callable[[Column], Column]) -> Column:
     """One side of a match: a player, or two partners."""
-    n = F.size("r.players")
+    n = F.size(r["players"])
+    player = lambda i: field(F.get(r["players"], F.lit(i)))
     return (
-        F.when(n == 2, field(_player(first)))
-        .when(n == 4, T.pair_text(field(_player(2 * first)), field(_player(2 * first + 1))))
+        F.when(n == 2, player(first))
+        .when(n == 4, T.pair_text(player(2 * first), player(2 * first + 1)))
         .otherwise("")
     )
 
 
-def _seed(first: int) -> Column:
-    n = F.size("r.players")
-    return (
-        F.when(n == 2, T.seed_strip(_player(first)["seed"]))
-        .when(n == 4, T.seed_strip(_player(2 * first)["seed"]))
-        .otherwise("")
-    )
+def _seed(r: Column, first: int) -> Column:
+    n = F.size(r["players"])
+    seed = lambda i: T.seed_strip(F.get(r["players"], F.lit(i))["seed"])
+    return F.when(n == 2, seed(first)).when(n == 4, seed(2 * first)).otherwise("")
 
 
-def _nation(first: int) -> Column:
-    flags, players = F.col("r.flags"), F.size("r.players")
+def _nation(r: Column, first: int) -> Column:
+    flags, players = r["flags"], F.size(r["players"])
     malformed = lambda f: ~F.substring_index(f, "/", -1).contains("#")
-    code = T.nation_code
+    code = lambda i: T.nation_code(F.get(flags, F.lit(i)))
     singles = (
         F.when(F.size(flags) < 2, "")
         .when(F.exists(F.slice(flags, 1, 2), lambda f: f.isNotNull() & malformed(f)), fixed.BAD_NATION)
-        .otherwise(F.coalesce(code(F.get(flags, F.lit(first))), F.lit(fixed.BAD_NATION)))
+        .otherwise(code(first))
     )
     doubles = (
         F.when(F.size(flags) < 4, "")
         .when(F.exists(F.slice(flags, 1, 4), lambda f: f.isNull() | malformed(f)), fixed.BAD_NATION)
-        .otherwise(T.pair_text(
-            code(F.get(flags, F.lit(2 * first))), code(F.get(flags, F.lit(2 * first + 1)))
-        ))
+        .otherwise(T.pair_text(code(2 * first), code(2 * first + 1)))
     )
     return F.when(players == 2, singles).when(players == 4, doubles).otherwise("")
 
 
-def match_records(pages: DataFrame, root_url: str) -> DataFrame:
-    """Matches of results pages ``(…, year, tournament_name, tournament_id, html)``."""
-    url = F.coalesce(F.concat(F.lit(root_url), F.col("r.stats_href")), F.lit(""))
+def _match_record(r: Column, root_url: str) -> Column:
+    url = F.coalesce(F.concat(F.lit(root_url), r["stats_href"]), F.lit(""))
     name = lambda p: F.coalesce(p["name"], F.lit(""))
     ident = lambda p: F.coalesce(U.player_id(p["href"]), F.lit(""))
-    own = ("year", "tournament_name", "tournament_id")
-    return match_candidates(pages).filter(readable_match()).select(
-        *[c for c in pages.columns if c not in ("html", *own)],
-        "position",
-        T.round_title(F.col("r.heading")).alias("round"),
-        _side(0, name).alias("player1_name"),
-        _side(0, ident).alias("player1_id"),
-        _seed(0).alias("player1_seed"),
-        _nation(0).alias("player1_nation"),
-        _side(1, name).alias("player2_name"),
-        _side(1, ident).alias("player2_id"),
-        _seed(1).alias("player2_seed"),
-        _nation(1).alias("player2_nation"),
-        S.match_score(F.col("r.scores")).alias("score"),
+    return F.struct(
+        T.round_title(r["heading"]).alias("round"),
+        _side(r, 0, name).alias("player1_name"),
+        _side(r, 0, ident).alias("player1_id"),
+        _seed(r, 0).alias("player1_seed"),
+        _nation(r, 0).alias("player1_nation"),
+        _side(r, 1, name).alias("player2_name"),
+        _side(r, 1, ident).alias("player2_id"),
+        _seed(r, 1).alias("player2_seed"),
+        _nation(r, 1).alias("player2_nation"),
+        S.match_score(r["scores"]).alias("score"),
         url.alias("url"),
         U.last_segment(url).alias("match_id"),
-        *own,
+        F.col("year").alias("year"),
+        F.col("tournament_name").alias("tournament_name"),
+        F.col("tournament_id").alias("tournament_id"),
+    )
+
+
+def match_records(pages: DataFrame, root_url: str) -> DataFrame:
+    """Matches of results pages ``(…, year, tournament_name, tournament_id, html)``."""
+    r = F.col("r")
+    own = ("html", "year", "tournament_name", "tournament_id")
+    carried = [c for c in pages.columns if c not in own]
+    readable = match_candidates(pages).filter(readable_match(r))
+    return readable.select(*carried, "position", _match_record(r, root_url).alias("m")).select(
+        *carried, "position", "m.*"
     )
 
 
+def match_lists(pages: DataFrame, root_url: str) -> DataFrame:
+    """The same matches as one list ``data`` per page."""
+    return _page_lists(pages, _matches_found(), readable_match, lambda r: _match_record(r, root_url))
+
+
+# Any page, payloads -----------------------------------------------------------------------
+
+
 def page_links(pages: DataFrame) -> DataFrame:
     """Title, first heading and each navigation link of any page."""
     found = H.records(F.col("html"), H.navigation_links, H.LINK_DDL, H.LINK_RECORD)

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions import payload as P
 from tidemark.functions import urls as U
 from tidemark.operators import extract as E
 from tidemark.operators import summary as S
 from tidemark.plans import calendar as C
 from tidemark.plans import results as R
 from tidemark.sources import landing as L
-from tidemark.sources.documents import with_records
 
 
 @dataclass(frozen=True)
@@ -29,30 +29,23 @@ class Cycle:
 
 
 def calendar_raw(pages: DataFrame, root_url: str) -> DataFrame:
-    """Raw rows of calendar pages ``(page_id, year, retrieved_at, html)``, one document per page part."""
-    rows = E.calendar_records(pages, root_url)
-    fields = [f.source for f in C.CALENDAR_FIELDS]
-    docs = L.documents(
-        rows, ["page_id", "year", "retrieved_at"], ["position"],
-        [F.col(f) for f in fields], F.col("retrieved_at"),
-    )
-    at = F.col("retrieved_at")
-    return with_records(L.raw_table(docs, U.landing_key("atp_results_archive", at, year=F.col("year"))))
+    """Raw rows of calendar pages ``(page_id, year, retrieved_at, html)``: a document per page."""
+    key = U.landing_key("atp_results_archive", F.col("retrieved_at"), year=F.col("year"))
+    return _raw(E.calendar_lists(pages, root_url), key)
 
 
 def results_raw(pages: DataFrame, root_url: str) -> DataFrame:
-    """Raw rows of results pages, one document per page part; pages without a match give none."""
-    rows = E.match_records(pages, root_url)
-    fields = [f.source for f in R.RESULT_FIELDS]
-    page = ["page_id", "year", "tournament_id", "retrieved_at"]
-    docs = L.documents(
-        rows.select("*", F.col("year").alias("_year"), F.col("tournament_id").alias("_id")),
-        ["page_id", "_year", "_id", "retrieved_at"], ["position"],
-        [F.col(f) for f in fields], F.col("retrieved_at"),
-    ).withColumnsRenamed({"_year": "year", "_id": "tournament_id"})
-    at = F.col(page[-1])
-    key = U.landing_key("atp_tournament", at, year=F.col("year"), tournament_id=F.col("tournament_id"))
-    return with_records(L.raw_table(docs, key))
+    """Raw rows of results pages: a document per page; pages without a match give none."""
+    key = U.landing_key(
+        "atp_tournament", F.col("retrieved_at"),
+        year=F.col("year"), tournament_id=F.col("tournament_id"),
+    )
+    return _raw(E.match_lists(pages, root_url), key)
+
+
+def _raw(lists: DataFrame, key: Column) -> DataFrame:
+    wrapped = P.envelope(F.col("data"), F.col("retrieved_at"))
+    return L.raw_table(lists.select(key.alias("_key"), wrapped.alias("d")).select("_key", "d.*"), F.col("_key"))
 
 
 def pages_of_targets(targets: DataFrame, pages: DataFrame) -> DataFrame:

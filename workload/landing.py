@@ -63,11 +63,11 @@ def raw_blob_load(spark, sf_dir):
 
 @query("malformed_documents", """
     SELECT event_id::VARCHAR || '.json' AS meta_file_name, event_type <> 'signup' AS loaded
-    FROM events WHERE event_type IN ('signup', 'view')
+    FROM events
 """)
 def malformed_documents(spark, sf_dir):
     """A file per event. Those of sign-ups lack their end or go on behind it, and are set aside."""
-    events = table(spark, sf_dir, "events").filter(F.col("event_type").isin("signup", "view"))
+    events = table(spark, sf_dir, "events")
     broken = F.when(F.col("value") < 50, F.rtrim("props", F.lit("}"))).otherwise(F.concat("props", F.lit(" }")))
     scanned = events.select(
         F.when(F.col("event_type") == "signup", broken).otherwise(F.col("props")).alias("data"),
