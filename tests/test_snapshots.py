@@ -37,13 +37,15 @@ def test_late_and_repeated_files_do_not_matter(spark, rows):
 @pytest.mark.parametrize("by", [[], ["k"]])
 def test_version_rank(spark, by):
     rnd = random.Random(3)
-    data = [(rnd.choice("ab"), f"2024-01-{rnd.randint(1, 4):02d} {rnd.randint(0, 5):02d}:00:00") for _ in range(80)]
+    data = [(rnd.choice(["a", "b", None]), f"2024-01-{rnd.randint(1, 4):02d} {rnd.randint(0, 5):02d}:00:00") for _ in range(80)]
+    data += [("a", None), (None, None), (None, None)]
     df = stamped(spark, data, "k string, meta_file_modified string")
     got = {tuple(str(v) for v in r) for r in V.version_rank(df, by).collect()}
     expected = set()
     for k, at in data:
         peers = {b for a, b in data if not by or a == k}
-        rank = str(sorted(peers, reverse=True).index(at) + 1)
+        rank = str(sorted(peers, key=lambda v: v or "", reverse=True).index(at) + 1)
+        k, at = str(k), str(at)
         expected.add((k, at, rank) if by else (at, rank))
     assert got == expected
 

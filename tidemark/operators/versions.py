@@ -50,27 +50,33 @@ def top_versions(df: DataFrame, k: int, version: str = VERSION) -> DataFrame:
 
 
 def version_rank(df: DataFrame, by: Sequence[str] = (), version: str = VERSION) -> DataFrame:
-    """``(by…, version, version_rank)``: dense rank of each distinct version, newest first."""
-    found = df.select(*by, version).distinct()
-    if by:
-        newest = Window.partitionBy(*by).orderBy(F.col(version).desc_nulls_last())
-        return found.withColumn("version_rank", F.dense_rank().over(newest))
-    # Ranks within each day, moved up by the number of versions on later days. Only the list
-    # of days, at most one row per calendar day, is ranked in one place.
-    dated = found.withColumn("_day", F.to_date(version))
-    days = dated.groupBy("_day").agg(F.count("*").alias("_n"))
-    later = Window.orderBy(F.col("_day").desc_nulls_last()).rowsBetween(
+    """``(by…, version, version_rank)``: dense rank of each distinct version, newest first.
+
+    Versions are ranked within their day, then moved up by the number of versions on later days.
+    Only lists of days, at most one row per calendar day, are ordered as a whole.
+    """
+    dated = df.select(*by, version).distinct().withColumn("_day", F.to_date(version))
+    days = dated.groupBy(*by, "_day").agg(F.count("*").alias("_n"))
+    later = Window.partitionBy(*by).orderBy(F.col("_day").desc_nulls_last()).rowsBetween(
         Window.unboundedPreceding, -1
     )
     offsets = days.select(
-        F.col("_day").alias("_other"), F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_later")
+        *[F.col(c).alias(f"_same_{c}") for c in (*by, "_day")],
+        F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_later"),
     )
-    in_day = F.dense_rank().over(Window.partitionBy("_day").orderBy(F.col(version).desc()))
-    return (
-        dated.withColumn("_in_day", in_day)
-        .join(offsets, F.col("_day").eqNullSafe(F.col("_other")))
-        .select(version, (F.col("_later") + F.col("_in_day")).cast("int").alias("version_rank"))
+    in_day = F.dense_rank().over(
+        Window.partitionBy(*by, "_day").orderBy(F.col(version).desc_nulls_last())
     )
+    same = [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in (*by, "_day")]
+    rank = (F.col("_later") + F.col("_in_day")).cast("int").alias("version_rank")
+    return dated.withColumn("_in_day", in_day).join(offsets, same).select(*by, version, rank)
+
+
+def _latest_versions(df: DataFrame, by: Sequence[str], k: int, version: str) -> DataFrame:
+    """The k newest versions of each key with their rank; each map task keeps k per key."""
+    newest = Window.partitionBy(*by).orderBy(F.col(version).desc_nulls_last())
+    ranked = df.select(*by, version).distinct().withColumn("version_rank", F.dense_rank().over(newest))
+    return ranked.filter(F.col("version_rank") <= k)
 
 
 def snapshot_pair(
@@ -82,8 +88,7 @@ def snapshot_pair(
     """
     source = df if versions is None else versions
     if by:
-        latest = version_rank(source, by, version).filter("version_rank <= 2")
-        return df.join(latest, [*by, version])
+        return df.join(_latest_versions(source, by, 2, version), [*by, version])
     # Two scalar subqueries bound the scan; rows of older versions are never parsed further.
     latest = top_versions(source, 2, version)
     newest = latest.agg(F.max(version)).scalar()
