@@ -42,9 +42,13 @@ class Node:
 
     def _inside(self, tag: str, css: str | None) -> Iterator[Node]:
         starts, nodes = self.index.get(tag, ((), ()))
-        for i in range(bisect_right(starts, self.start), bisect_left(starts, self.end)):
-            if css is None or css in nodes[i].attrs.get("class", "").split():
-                yield nodes[i]
+        for node in nodes[bisect_right(starts, self.start):bisect_left(starts, self.end)]:
+            if css is None:
+                yield node
+            else:
+                classes = node.attrs.get("class", "")
+                if css == classes or (css in classes and css in classes.split()):
+                    yield node
 
     def find_all(self, tag: str, css: str | None = None) -> list[Node]:
         return list(self._inside(tag, css))
@@ -159,10 +163,19 @@ _ODD_TAGS = frozenset("iframe noembed noframes noscript plaintext textarea xmp".
 _attribute_text = getattr(parser, "_unescape_attribute", unescape)
 
 
+def _attributes(text: str) -> dict[str, str]:
+    attrs = {}
+    for name, double, single in _ATTRIBUTES.findall(text):
+        value = double or single
+        attrs[name.lower()] = _attribute_text(value) if "&" in value else value
+    return attrs
+
+
 def _read_plain(html: str, tree: _Tree) -> bool:
     """Build the tree of a page whose markup is all plain; False where it is not."""
     at = 0
     in_title = False
+    seen: dict[str, dict[str, str]] = {}  # Pages repeat their attributes; nodes may share them.
     while True:
         tag_at = html.find("<", at)
         text = html[at:] if tag_at < 0 else html[at:tag_at]
@@ -190,10 +203,9 @@ def _read_plain(html: str, tree: _Tree) -> bool:
         tag = found[2].lower()
         if in_title or tag in _ODD_TAGS:
             return False
-        attrs = {}
-        for name, double, single in _ATTRIBUTES.findall(found[3]):
-            value = double or single
-            attrs[name.lower()] = _attribute_text(value) if "&" in value else value
+        attrs = seen.get(found[3])
+        if attrs is None:
+            attrs = seen[found[3]] = _attributes(found[3])
         tree.start(tag, attrs, closed=bool(found[4]))
         if found[4]:
             continue
