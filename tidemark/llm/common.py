@@ -21,12 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Lower the session's rows per Arrow batch to ``BATCH_ROWS``, if they are more."""
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Lower the session's rows per Arrow batch to ``rows``, if they are more."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     now = int(spark.conf.get(key))
-    if now <= 0 or now > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, str(rows))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -8,13 +8,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_id
+from tidemark.llm import bpe, language_id, link_trust, lm_scoring, minhash, mixing, near_vectors, personal_data, suffix_dedup, top_k
 from tidemark.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
+URL_RULES = (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"),
+)
+SOURCE_WEIGHTS = (5, 2, 1)
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -40,6 +44,69 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op2_personal_data")
+def documents_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = personal_data.find(documents, personal_data.learn(documents))
+    base = F.col("personal.base")
+    return found.select(
+        "doc_id",
+        *[personal_data.count_of(base, k).alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)],
+        F.sha2(personal_data.written(base).cast("binary"), 256).alias("base_sha256"),
+        personal_data.written(F.col("personal.spans")).alias("spans"),
+    )
+
+
+@query("op3_suffix_dedup")
+def documents_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query("op4_lm_scoring")
+def documents_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_scoring.score(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 7) != 2)
+    return found.select(
+        F.col("id").alias("doc_id"), (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score", "bits_per_byte",
+    )
+
+
+@query("op5_link_trust")
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.verdicts(table(spark, sf_dir, "pages").select("page_id", "url", "html"), URL_RULES).select(
+        "page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict"
+    )
+
+
+@query("op7_minhash")
+def documents_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query("op6_near_vectors")
+def embeddings_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.95).select(
+        F.col("id").alias("vec_id"), "n_links", "component_id", "kept"
+    )
+
+
+@query("op8_top_k")
+def embeddings_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op9_mixing")
+def documents_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    mixed = mixing.copies(documents, mixing.balance(documents, SOURCE_WEIGHTS))
+    return mixed.select(
+        "doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.copies") * F.col("mix.size")).alias("taken")
+    )
+
+
 @query("op10_language_id")
 def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
