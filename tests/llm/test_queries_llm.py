@@ -69,8 +69,9 @@ def test_op4(spark, texts):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (not learned_, *e[:3])
         assert math.isclose(r["base_score"], e[3], rel_tol=1e-9)
     unseen = [r for r in all_ if r["held_out"]]
-    assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
-    assert 0 < np.mean([r["bits_per_byte"] for r in unseen]) < 4
+    # The base gives unseen words no share of its own, so with few documents it looks better than it is.
+    assert sum(r["score"] for r in unseen) > 1.3 * sum(r["base_score"] for r in unseen)
+    assert 1 < np.mean([r["bits_per_byte"] for r in unseen]) < 3
 
 
 def test_op5(spark):

@@ -96,8 +96,8 @@ def learn(documents: DataFrame, text: str = "text", lang: str = "lang", profile:
     return found
 
 
-def predict(documents: DataFrame, profiles: dict[str, list[int]], text: str = "text", profile: int = PROFILE) -> DataFrame:
-    """All columns of ``documents`` and ``prediction: struct<lang, score>``.
+def predict(documents: DataFrame, profiles: dict[str, list[int]], text: str = "text", profile: int = PROFILE, into: str = "prediction") -> DataFrame:
+    """All columns of ``documents`` and ``into``, a ``struct<lang, score>``.
 
     The score is 1 for a document whose n-grams all stand in their places, 0 if the profile has none of them.
     """
@@ -140,7 +140,7 @@ def predict(documents: DataFrame, profiles: dict[str, list[int]], text: str = "t
             })
 
     judge.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return documents.withColumn("prediction", F.pandas_udf(judge, "lang string, score double")(F.col(text)))
+    return documents.withColumn(into, F.pandas_udf(judge, "lang string, score double")(F.col(text)))
 
 
 def known_language(prediction: Column) -> Column:

@@ -139,7 +139,8 @@ def host_trust(found: DataFrame, html: str = "html") -> DataFrame:
 
 
 def verdicts(pages: DataFrame, rules: Rules, url: str = "url", html: str = "html") -> DataFrame:
-    """All columns of ``pages`` and ``judged: struct<host, path, rule, verdict, trust, distrust>``."""
+    """All columns of ``pages`` but one of that name, and ``judged: struct<host, path, rule, verdict, trust, distrust>``."""
+    pages = pages.drop("judged")
     found = judged(pages, rules, url)
     by_host = stored(host_trust(found, html), "host-trust").select(F.col("host").alias("__host"), F.struct(
         F.col("verdict").alias("verdict"), "trust", "distrust"

@@ -180,14 +180,14 @@ def _shifts(slim: DataFrame, targets: dict[str | None, float], tilt: dict[str |
 
 def copies(
     documents: DataFrame, parameters: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
-    base: Column | None = None, most: float = MOST,
+    base: Column | None = None, most: float = MOST, into: str = "mix",
 ) -> DataFrame:
-    """All columns of ``documents`` and ``mix: struct<size, source_size, target, rate, copies>``."""
+    """All columns of ``documents`` and ``into``, a ``struct<size, source_size, target, rate, copies>``."""
     words = words_in(F.col(text))
     rate = _tilted(F.lit(1.0) if base is None else base.cast("double"), F.col("__mix.tilt"), most)
     rest = draw(F.col(doc_id), F.col(source), words) - (rate - F.floor(rate))
     count = F.least(F.lit(int(most)).cast("long"), F.floor(rate) + (rest < F.col("__mix.shift")).cast("long"))
-    return _joined(documents, parameters, source).select(*[documents[c] for c in documents.columns], F.struct(
+    return _joined(documents, parameters, source).select(*[documents[c] for c in documents.columns if c != into], F.struct(
         words.alias("size"), F.col("__mix.source_size").alias("source_size"), F.col("__mix.target").alias("target"),
         rate.alias("rate"), F.when(words > 0, count).otherwise(0).alias("copies"),
-    ).alias("mix"))
+    ).alias(into))

@@ -317,9 +317,9 @@ def redacted(text: Column, spans: Column) -> Column:
     )
 
 
-def find(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """All columns of ``documents`` and ``personal: struct<base, spans>``."""
-    return documents.withColumn("personal", detected(F.col(text), model))
+def find(documents: DataFrame, model: Model, text: str = "text", into: str = "personal") -> DataFrame:
+    """All columns of ``documents`` and ``into``, a ``struct<base, spans>``."""
+    return documents.withColumn(into, detected(F.col(text), model))
 
 
 def count_of(spans: Column, kind: int) -> Column:
