@@ -4,6 +4,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tidemark.operators.flatten import Field, flatten
@@ -130,7 +131,7 @@ def test_ledger(spark, rows):
 def test_sql_parameters(spark, tmp_path):
     put(tmp_path, "q.sql", "SELECT :x AS v -- not a :marker\n WHERE 'a:b' <> :y")
     assert Q.run_sql_file(spark, str(tmp_path / "q.sql"), x=3, y="it's").first()["v"] == 3
-    with pytest.raises(KeyError, match="y"):
+    with pytest.raises(AnalysisException, match="parameter: y"):
         Q.run_sql(spark, "SELECT :x WHERE 1 < :y", x=1)
 
 

@@ -1,3 +1,10 @@
 """Versioned snapshot analytics on Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions that run in Python workers carry their code along, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -291,7 +291,7 @@ MATCH_RECORD = pa.struct([
     ("stats_href", pa.string()),
     ("scores", pa.list_(pa.list_(pa.list_(pa.string())))),
     ("players", pa.list_(pa.struct([
-        ("name", pa.string()), ("href", pa.string()), ("seed", pa.string()),
+        ("name", pa.string()), ("href", pa.string()), ("seed", pa.string()), ("broken", pa.bool_()),
     ]))),
     ("flags", pa.list_(pa.string())),
     ("error", pa.string()),
@@ -300,8 +300,13 @@ MATCH_RECORD = pa.struct([
 
 def _player(node: Node) -> dict:
     info = node.find("a", "p")
+    try:
+        name = None if info is None else " ".join(info.first_text().split())
+    except IndexError:
+        name = None
     return {
-        "name": None if info is None else " ".join(info.first_text().split()),
+        "name": name,
+        "broken": info is not None and name is None,
         "href": None if info is None else info.attrs.get("href"),
         "seed": _text_of(node.find("span")),
     }
@@ -318,10 +323,6 @@ def _match(node: Node) -> dict:
     stats = next((a for a in links if "Stats" in (a.only_text() or "")), None)
     if stats is not None and "href" not in stats.attrs:
         return {"error": "stats link without an address"}
-    try:
-        players = [_player(n) for n in node.find_all("div", css="name")]
-    except IndexError:
-        return {"error": "player without a name"}
     return {
         "heading": _text_of(node.find("strong")),
         "stats_href": stats.attrs["href"] if stats else None,
@@ -332,7 +333,7 @@ def _match(node: Node) -> dict:
             ]
             for block in node.find_all("div", css="scores")
         ],
-        "players": players,
+        "players": [_player(n) for n in node.find_all("div", css="name")],
         "flags": [_flag(svg) for svg in node.find_all("svg")],
     }
 
@@ -349,6 +350,7 @@ LINK_RECORD = pa.struct([
     ("heading", pa.string()),
     ("href", pa.string()),
     ("text", pa.string()),
+    ("error", pa.string()),
 ])
 
 
@@ -371,21 +373,30 @@ CALENDAR_DDL = (
 )
 MATCH_DDL = (
     "heading string, stats_href string, scores array<array<array<string>>>, "
-    "players array<struct<name string, href string, seed string>>, "
+    "players array<struct<name string, href string, seed string, broken boolean>>, "
     "flags array<string>, error string"
 )
-LINK_DDL = "title string, heading string, href string, text string"
+LINK_DDL = "title string, heading string, href string, text string, error string"
+
+
+PAGE_ERROR = "unreadable page: "
 
 
 def records(html: Column, read: Callable[[Node], list[dict]], ddl: str, record: pa.DataType) -> Column:
-    """Array of the records that ``read`` finds in each page. Only the page text goes to Python."""
+    """Array of the records that ``read`` finds in each page. Only the page text goes to Python.
+
+    A page that the parser gives up on yields one record, whose ``error`` begins with ``PAGE_ERROR``.
+    """
     list_type = pa.list_(record)
 
     def read_one(html: str | None) -> list[dict] | None:
         if html is None:
             return None
-        page = read_page(html)
-        found = read(page)
+        try:
+            page = read_page(html)
+            found = read(page)
+        except Exception as e:  # whatever is in a page, the others go on
+            return [{"error": f"{PAGE_ERROR}{type(e).__name__}: {e}"}]
         page.index.clear()  # The index and its nodes refer to each other; this frees both.
         return found
 

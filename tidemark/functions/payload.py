@@ -40,12 +40,20 @@ def decrypted_text(last_modified: Column, response: Column) -> Column:
     return F.try_validate_utf8(plain.cast("string"))
 
 
-def envelope(data: Column, retrieved_at: Column, source_url: Column | None = None) -> Column:
-    """A document: when it was fetched (UTC wall clock) and what was fetched. Nulls are written out."""
+def envelope(
+    data: Column, retrieved_at: Column, source_url: Column | None = None, document: Column | None = None,
+    part: Column | None = None,
+) -> Column:
+    """A document: when it was fetched (UTC wall clock) and what was fetched. Nulls are written out.
+
+    A document in several parts names itself and the part in each of them.
+    """
     stamp = F.date_format(retrieved_at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     metadata = [stamp.alias("retrieved_at")]
     if source_url is not None:
         metadata.append(source_url.alias("source_url"))
+    if document is not None:
+        metadata += [document.alias("document"), part.alias("part")]
     return F.struct(F.struct(*metadata).alias("metadata"), data.alias("data"))
 
 

@@ -8,14 +8,18 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fixed
 
 
+# Everything that counts as white space in page texts, no-break and other wide blanks included.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def strip(text: Column) -> Column:
     """Drop white space of any kind at both ends."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
 
 
 def squeeze(text: Column) -> Column:
     """Strip, and turn each inner run of white space into one blank."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
 
 
 def round_title(heading: Column) -> Column:

@@ -53,10 +53,11 @@ def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str | None = No
     Nothing is left if ``other`` holds a NULL; a NULL key is left only if ``other`` is empty.
     """
     values = other.select(F.col(other_key or key).alias("_value"))
-    has_null = values.agg(F.coalesce(F.max(F.col("_value").isNull()), F.lit(False))).scalar()
-    is_empty = values.agg(F.count("*") == 0).scalar()
+    facts = values.agg(F.struct(
+        (F.count("*") > F.count("_value")).alias("has_null"), (F.count("*") == 0).alias("is_empty")
+    )).scalar()
     missing = df.join(values.distinct(), F.col(key) == F.col("_value"), "left_anti")
-    return missing.filter(~has_null & (F.col(key).isNotNull() | is_empty))
+    return missing.filter(~facts["has_null"] & (F.col(key).isNotNull() | facts["is_empty"]))
 
 
 def new_keys(current: DataFrame, previous: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -101,9 +101,9 @@ def readable_match(r: Column) -> Column:
     """
     players, count = r["players"], F.size(r["players"])
     at = lambda i: F.get(players, F.lit(i))
-    has_id = lambda p: U.player_id(p["href"]).isNotNull()
+    has_id = lambda p: ~p["broken"] & U.player_id(p["href"]).isNotNull()
     lead_seed = at(0)["seed"].isNotNull() | at(2)["seed"].isNotNull()
-    singles = F.forall(players, lambda p: p["href"].isNull() | has_id(p))
+    singles = F.forall(players, lambda p: ~p["broken"] & (p["href"].isNull() | has_id(p)))
     doubles = F.forall(players, lambda p: p["name"].isNotNull() & F.coalesce(has_id(p), F.lit(False)))
     seeds = ~lead_seed | F.forall(players, lambda p: p["seed"].isNotNull())
     return (
@@ -192,7 +192,34 @@ def match_lists(pages: DataFrame, root_url: str) -> DataFrame:
 def page_links(pages: DataFrame) -> DataFrame:
     """Title, first heading and each navigation link of any page."""
     found = H.records(F.col("html"), H.navigation_links, H.LINK_DDL, H.LINK_RECORD)
-    return _explode_records(pages, found).select("*", "r.*").drop("r")
+    return _explode_records(pages, found).filter("r.error IS NULL").select("*", "r.*").drop("r", "error")
+
+
+# What is set aside ------------------------------------------------------------------------
+
+
+def unreadable_events(pages: DataFrame) -> DataFrame:
+    """Blocks of calendar pages that give no tournament, and pages that can't be read, with their ``error``."""
+    return _set_aside(calendar_candidates(pages), _readable_event)
+
+
+def unreadable_matches(pages: DataFrame) -> DataFrame:
+    """Blocks of results pages that give no match, and pages that can't be read, with their ``error``."""
+    return _set_aside(match_candidates(pages), readable_match)
+
+
+def unreadable_pages(pages: DataFrame) -> DataFrame:
+    """Pages that the parser gives up on, with its ``error``."""
+    found = H.records(F.col("html"), H.navigation_links, H.LINK_DDL, H.LINK_RECORD)
+    return _set_aside(_explode_records(pages, found), lambda r: ~F.coalesce(r["error"].startswith(H.PAGE_ERROR), F.lit(False)))
+
+
+def _set_aside(candidates: DataFrame, readable: Callable[[Column], Column]) -> DataFrame:
+    r = F.col("r")
+    error = F.coalesce(r["error"], F.lit("no complete record")).alias("error")
+    return candidates.filter(~F.coalesce(readable(r), F.lit(False))).select(
+        *[c for c in candidates.columns if c != "r"], error
+    )
 
 
 def _payload_text() -> Column:

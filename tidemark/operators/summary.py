@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.sources.documents import record_count
+from tidemark.sources.documents import document_id, record_count
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -13,7 +13,10 @@ def row_count(df: DataFrame) -> DataFrame:
 
 
 def records_per_document(raw: DataFrame) -> DataFrame:
-    return raw.select("meta_file_name", record_count().alias("n_records"))
+    """One row per document; the records of its parts are summed."""
+    return raw.groupBy(document_id().alias("document"), "meta_file_modified").agg(
+        F.sum(record_count()).cast("bigint").alias("n_records")
+    )
 
 
 def count_by(df: DataFrame, column: str, name: str) -> DataFrame:

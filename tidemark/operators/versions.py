@@ -24,6 +24,12 @@ def latest_version(df: DataFrame, version: str = VERSION) -> DataFrame:
     return df.filter(F.col(version) == df.agg(F.max(version)).scalar())
 
 
+def latest_group(df: DataFrame, group: Column, version: str = VERSION) -> DataFrame:
+    """All rows of the newest version that share its largest ``group``, such as a document in parts."""
+    named = latest_version(df, version).withColumn("_group", group)
+    return named.filter(F.col("_group") == named.agg(F.max("_group")).scalar()).drop("_group")
+
+
 def latest_per_key(
     df: DataFrame, keys: Sequence[str], version: str = VERSION, tiebreak: Sequence[str] = (),
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from tidemark.operators import versions as V
 from tidemark.operators.flatten import Field, flatten
+from tidemark.sources.documents import document_id
 
 LEVELS = ("data.TournamentDates", "Tournaments")
 
@@ -32,9 +33,6 @@ TOURNAMENT_FIELDS = (
 
 
 def tournaments(raw: DataFrame, strict: bool = True, whole_version: bool = False) -> DataFrame:
-    """Details from the newest file, or from all files of the newest version."""
-    newest = (
-        V.latest_version(raw) if whole_version
-        else V.latest_row(raw, tiebreak=["meta_file_name"])
-    )
+    """Details from the newest document with all its parts, or from all files of the newest version."""
+    newest = V.latest_version(raw) if whole_version else V.latest_group(raw, document_id())
     return flatten(newest, TOURNAMENT_FIELDS, LEVELS, strict)

@@ -60,10 +60,15 @@ def documents(
 ) -> DataFrame:
     """Envelopes ``(keys…, part, metadata, data)`` around the records of each key."""
     listed = collect_records(rows, keys, record_id, fields, "data", limit)
-    wrapped = P.envelope(F.col("data"), retrieved_at, source_url)
+    wrapped = P.envelope(F.col("data"), retrieved_at, source_url, document_name(keys), F.col("part"))
     return listed.select(*keys, "part", wrapped.alias("d")).select(*keys, "part", "d.*")
 
 
+def document_name(keys: Sequence[str]) -> Column:
+    """What the parts of a document have in common."""
+    return F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
+
+
 def raw_table(docs: DataFrame, key: Column | None = None) -> DataFrame:
     """The raw rows that loading these documents would give."""
     name = key if key is not None else F.concat_ws("/", *[
@@ -105,15 +110,26 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def manifest(
     docs: DataFrame, endpoint: str, at: Column | None = None, **facts: Column,
 ) -> DataFrame:
-    """What is stored next to each document: endpoint, count, times and the given facts."""
+    """What is stored next to each document: endpoint, count, times and the given facts.
+
+    The parts of a document count as one; a document that doesn't name itself stands for itself.
+    """
     uploaded = at if at is not None else F.to_timestamp_ntz(
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
     )
     uploaded_text = F.date_format(uploaded, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
-    return docs.select(
-        F.lit(endpoint).alias("endpoint"),
+    counted = docs.select(
         *[value.cast("string").alias(name) for name, value in facts.items()],
-        F.size("data").cast("string").alias("count"),
-        F.coalesce("metadata.retrieved_at", uploaded_text).alias("scraped_at"),
+        F.size("data").cast("long").alias("count"),
+        F.col("metadata.retrieved_at").alias("_at"),
+        *[F.col("metadata.document").alias("_document")] * ("document" in docs.schema["metadata"].dataType.names),
+    )
+    if "_document" in counted.columns:
+        counted = counted.groupBy(*facts, "_at", "_document").agg(F.sum("count").alias("count"))
+    return counted.select(
+        F.lit(endpoint).alias("endpoint"),
+        *facts,
+        F.col("count").cast("string").alias("count"),
+        F.coalesce("_at", uploaded_text).alias("scraped_at"),
         uploaded_text.alias("upload_timestamp"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LEDGER_COLUMNS = ("file_uri", "endpoint", "table_name", "rows_loaded", "loaded_at")
+LEDGER_SCHEMA = "file_uri string, endpoint string, table_name string, rows_loaded int, loaded_at timestamp_ntz"
 
 
 def new_files(candidates: DataFrame, ledger: DataFrame, name: str = "meta_file_name") -> DataFrame:
@@ -20,7 +21,7 @@ def ledger_rows(raw: DataFrame, endpoint: str, table: str, loaded_at: Column) ->
         F.lit(endpoint).alias("endpoint"),
         F.lit(table).alias("table_name"),
         F.count("*").cast("int").alias("rows_loaded"),
-        F.first(loaded_at).alias("loaded_at"),
+        F.first(loaded_at).cast("timestamp_ntz").alias("loaded_at"),
     )
 
 

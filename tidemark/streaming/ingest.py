@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +47,20 @@ def _each_batch(
     )
 
 
-def _replace_batch(df: DataFrame, path: str, batch: int) -> None:
-    """Write a batch into its own folder, so that a retry replaces it instead of adding to it."""
-    df.write.mode("overwrite").parquet(f"{path}/batch={batch}")
+def _replace_batch(df: DataFrame, path: str, checkpoint: str, batch: int) -> None:
+    """Write a batch into its own folder, so that a retry replaces it instead of adding to it.
+
+    Batch numbers start again with a new checkpoint, so the folder is the checkpoint's too.
+    """
+    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    df.write.mode("overwrite").parquet(f"{path}/batch={stream}-{batch}")
+
+
+def _split_batch(batch: DataFrame, quarantine_path: str | None, checkpoint: str, number: int) -> DataFrame:
+    """A batch's raw rows. With ``quarantine_path`` malformed files go there; without, they fail the batch."""
+    if quarantine_path is not None:
+        _replace_batch(S.quarantined(batch), quarantine_path, checkpoint, number)
+    return S.raw_rows(batch, strict=quarantine_path is None)
 
 
 def load_new(
@@ -61,17 +73,15 @@ def load_new(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        strict = quarantine_path is None
-        _replace_batch(S.raw_rows(batch, strict).select(*fixed.RAW_COLUMNS), table_path, number)
-        if not strict:
-            _replace_batch(S.quarantined(batch), quarantine_path, number)
+        rows = _split_batch(batch, quarantine_path, checkpoint, number)
+        _replace_batch(rows.select(*fixed.RAW_COLUMNS), table_path, checkpoint, number)
 
     return _each_batch(stream, checkpoint, write)
 
 
 def keep_latest(
     stream: DataFrame, flatten: Callable[[DataFrame], DataFrame], keys: Sequence[str],
-    state_path: str, checkpoint: str, tiebreak: Sequence[str] = (),
+    state_path: str, checkpoint: str, tiebreak: Sequence[str] = (), quarantine_path: str | None = None,
 ) -> StreamingQuery:
     """Maintain the newest row per key. Versions decide, not the order of arrival.
 
@@ -80,8 +90,8 @@ def keep_latest(
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = flatten(S.raw_rows(batch))
-        _replace_batch(V.latest_per_key(rows, keys, tiebreak=tiebreak), state_path, number)
+        rows = flatten(_split_batch(batch, quarantine_path, checkpoint, number))
+        _replace_batch(V.latest_per_key(rows, keys, tiebreak=tiebreak), state_path, checkpoint, number)
 
     return _each_batch(stream, checkpoint, write)
 
@@ -95,12 +105,13 @@ def latest_state(
 
 def after_each_batch(
     stream: DataFrame, table_path: str, checkpoint: str,
-    refresh: Callable[[DataFrame, int], None],
+    refresh: Callable[[DataFrame, int], None], quarantine_path: str | None = None,
 ) -> StreamingQuery:
     """Load each batch, then hand the whole raw table to ``refresh``, such as a snapshot diff."""
 
     def write(batch: DataFrame, number: int) -> None:
-        _replace_batch(S.raw_rows(batch).select(*fixed.RAW_COLUMNS), table_path, number)
+        rows = _split_batch(batch, quarantine_path, checkpoint, number)
+        _replace_batch(rows.select(*fixed.RAW_COLUMNS), table_path, checkpoint, number)
         refresh(batch.sparkSession.read.parquet(table_path).select(*fixed.RAW_COLUMNS), number)
 
     return _each_batch(stream, checkpoint, write)

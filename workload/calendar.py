@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import diff as D
+from tidemark.operators import versions as V
 from tidemark.plans import calendar as C
 from tidemark.sources import landing as L
 from workload.registry import ROOT, events_by_day, query, table
@@ -135,19 +136,21 @@ def scrape_targets(spark, sf_dir):
     SELECT c.o_custkey, c.o_orderkey, c.final_price, c.o_orderdate,
            p.o_orderdate AS previous_o_orderdate
     FROM (SELECT *, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS final_price FROM orders
-          WHERE year(o_orderdate) = 2000) c
+          WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)) c
     JOIN (SELECT o_custkey, o_orderdate FROM orders
-          WHERE year(o_orderdate) = 1999 AND o_orderstatus <> 'F') p USING (o_custkey)
+          WHERE year(o_orderdate) = (SELECT max(y) FROM (SELECT DISTINCT year(o_orderdate) AS y FROM orders)
+                                     WHERE y < (SELECT max(year(o_orderdate)) FROM orders))
+            AND o_orderstatus <> 'F') p USING (o_custkey)
     WHERE c.final_price IS NOT NULL
 """)
 def orders_became_final(spark, sf_dir):
-    """Duplicates on both sides: a row appears once per matching earlier row."""
+    """The newest two years. Duplicates on both sides: a row appears once per matching earlier row."""
     price = F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))
     orders = table(spark, sf_dir, "orders").select(
-        "o_custkey", "o_orderkey", price.alias("final_price"), "o_orderdate"
+        "o_custkey", "o_orderkey", price.alias("final_price"), "o_orderdate", F.year("o_orderdate").alias("year")
     )
-    of_year = lambda y: orders.filter(F.year("o_orderdate") == y)
-    return D.became_non_null(of_year(2000), of_year(1999), "o_custkey", "final_price", "o_orderdate")
+    newest, before = (v.drop("year") for v in V.current_and_previous(orders, version="year"))
+    return D.became_non_null(newest, before, "o_custkey", "final_price", "o_orderdate")
 
 
 @query("not_in_null_aware", """

@@ -29,15 +29,15 @@ EVENT_FIELDS = (
 )
 
 
-def event_documents(spark, sf_dir) -> DataFrame:
+def event_documents(spark, sf_dir, limit: int = L.RECORDS_PER_DOCUMENT) -> DataFrame:
     """One document per day of events, in parts where a day is long."""
     fields = [F.col("ts").cast("string").alias("ts") if f.source == "ts" else F.col(f.source)
               for f in EVENT_FIELDS]
-    return L.documents(events_by_day(spark, sf_dir), ["day"], ["event_id"], fields, F.col("day"))
+    return L.documents(events_by_day(spark, sf_dir), ["day"], ["event_id"], fields, F.col("day"), limit=limit)
 
 
-def event_raw(spark, sf_dir) -> DataFrame:
-    return L.raw_table(event_documents(spark, sf_dir))
+def event_raw(spark, sf_dir, limit: int = L.RECORDS_PER_DOCUMENT) -> DataFrame:
+    return L.raw_table(event_documents(spark, sf_dir, limit))
 
 
 EVENTS_PER_DAY = """
@@ -80,12 +80,22 @@ def malformed_documents(spark, sf_dir):
 
 @query("records_per_document", EVENTS_PER_DAY)
 def records_per_document(spark, sf_dir):
-    raw = event_raw(spark, sf_dir)
-    counted = S.records_per_document(raw)
-    day = F.split_part("meta_file_name", F.lit("/"), F.lit(1)).cast("timestamp_ntz")
-    return counted.groupBy(day.alias("version")).agg(
-        F.sum("n_records").cast("bigint").alias("n_records")
-    )
+    """A day is one document, in however many parts: tiny ones here."""
+    counted = S.records_per_document(event_raw(spark, sf_dir, limit=7))
+    return counted.select(F.col("document").cast("timestamp_ntz").alias("version"), "n_records")
+
+
+@query("idempotent_load", EVENTS_PER_DAY)
+def idempotent_load(spark, sf_dir):
+    """Three loads of a folder: of half the files, of all, and of nothing new. Each file is loaded once."""
+    files, raw, ledger = (shared_dir(spark, n) for n in ("landing", "raw", "ledger"))
+    docs = event_documents(spark, sf_dir).withColumn("late", F.dayofmonth("day") > 15)
+    L.write_documents(docs.filter("late"), files)
+    D.load_new(spark, files, raw, ledger, "events")
+    L.write_documents(docs.filter("NOT late"), files)
+    D.load_new(spark, files, raw, ledger, "events")
+    D.load_new(spark, files, raw, ledger, "events")
+    return records_by_version(D.raw_source(spark, raw))
 
 
 @query("flatten_one_level", """
@@ -128,7 +138,7 @@ def flatten_two_level(spark, sf_dir):
                        F.col("meta_file_modified").alias("version"))
 
 
-def order_details(spark, sf_dir) -> DataFrame:
+def order_details(spark, sf_dir, limit: int = 1000) -> DataFrame:
     """Documents per day of orders: date groups by priority, which hold orders as tournaments."""
     orders = table(spark, sf_dir, "orders")
     text = lambda c: F.col(c).cast("string")
@@ -152,17 +162,20 @@ def order_details(spark, sf_dir) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "true").otherwise("false").alias("IsPastEvent"),
     ]
     groups = L.collect_records(
-        orders, ["o_orderdate", "o_orderpriority"], ["o_orderkey"], record, "Tournaments", limit=1000,
+        orders, ["o_orderdate", "o_orderpriority"], ["o_orderkey"], record, "Tournaments", limit=limit,
     ).withColumnRenamed("part", "group_part")
     listed = L.collect_records(
         groups, ["o_orderdate"], ["o_orderpriority", "group_part"],
-        ["Tournaments"], "TournamentDates", limit=100,
+        ["Tournaments"], "TournamentDates", limit=max(1, limit // 10),
+    )
+    wrapped = P.envelope(
+        F.struct("TournamentDates"), F.col("o_orderdate"), F.lit(f"{ROOT}/api"),
+        L.document_name(["o_orderdate"]), F.col("part"),
     )
-    wrapped = P.envelope(F.struct("TournamentDates"), F.col("o_orderdate"), F.lit(f"{ROOT}/api"))
     return listed.select("o_orderdate", "part", wrapped.alias("d")).select("o_orderdate", "part", "d.*")
 
 
-@query("latest_file_only", """
+LATEST_FILE_SQL = """
     SELECT o_orderkey::VARCHAR AS tournament_id, 'Order ' || o_orderkey AS tournament_name,
            'Customer ' || o_custkey AS location, strftime(o_orderdate, '%d.%m.%Y') AS formatted_date,
            o_orderpriority AS surface, CASE WHEN o_orderstatus = 'O' THEN 'O' END AS indoor_outdoor,
@@ -174,14 +187,32 @@ def order_details(spark, sf_dir) -> DataFrame:
            o_totalprice > 250000 AS is_live, o_orderstatus = 'F' AS is_past_event,
            o_orderdate::TIMESTAMP AS meta_file_modified
     FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)
-""")
-def latest_file_only(spark, sf_dir):
-    raw = L.raw_table(order_details(spark, sf_dir))
-    return tournaments(raw, whole_version=True).drop("meta_file_name").withColumn(
+"""
+
+
+def latest_details(docs: DataFrame, whole_version: bool = False) -> DataFrame:
+    raw = L.stored(L.raw_table(docs), "details")
+    return tournaments(raw, whole_version=whole_version).drop("meta_file_name").withColumn(
         "total_financial_commitment", F.col("total_financial_commitment").cast("double")
     )
 
 
+@query("latest_file_only", LATEST_FILE_SQL)
+def latest_file_only(spark, sf_dir):
+    return latest_details(order_details(spark, sf_dir))
+
+
+@query("latest_file_in_parts", LATEST_FILE_SQL)
+def latest_file_in_parts(spark, sf_dir):
+    """Each document is in many parts, which change nothing."""
+    return latest_details(order_details(spark, sf_dir, limit=2))
+
+
+@query("latest_version_in_parts", LATEST_FILE_SQL)
+def latest_version_in_parts(spark, sf_dir):
+    return latest_details(order_details(spark, sf_dir, limit=1_000_000), whole_version=True)
+
+
 def typed_documents(spark, sf_dir) -> DataFrame:
     """Orders of a year as one array of structs, with the year in the metadata."""
     orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
@@ -279,10 +310,9 @@ def ledger_rows(spark, sf_dir):
     FROM events GROUP BY ALL
 """)
 def manifest(spark, sf_dir):
-    listed = L.manifest(event_documents(spark, sf_dir), "events", year=F.year("day"))
-    return listed.groupBy("endpoint", "year", "scraped_at").agg(
-        F.sum(F.col("count").cast("bigint")).alias("n_records")
-    )
+    """One row per document, although long days are in parts: tiny ones here."""
+    listed = L.manifest(event_documents(spark, sf_dir, limit=11), "events", year=F.year("day"))
+    return listed.select("endpoint", "year", "scraped_at", F.col("count").cast("bigint").alias("n_records"))
 
 
 @query("landing_key", """
