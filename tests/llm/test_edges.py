@@ -52,7 +52,7 @@ def test_bpe_unknown_id(spark, vocabulary):
 
 
 def test_bpe_edits(vocabulary):
-    rnd, v = random.Random(5), vocabulary.value
+    rnd, v = random.Random(5), bpe.Vocabulary.restored(vocabulary.value)
     pieces = ["a", "the", " ", "  ", "\n", "é", "123", "'s", "!?", "漢", "🙂", "    ", "\r\n", "ing"]
     for _ in range(300):
         text = "".join(rnd.choices(pieces, k=rnd.randint(0, 12)))
@@ -439,7 +439,7 @@ def test_pipeline(spark, documents, vocabulary):
         if name == "mixing":
             mixed = now.collect()
     tokens = now.collect()
-    encoder = bpe.Encoder(vocabulary.value)
+    encoder = bpe.Encoder(bpe.Vocabulary.restored(vocabulary.value))
     assert sorted((str(r["doc_id"]), r["ids"]) for r in tokens) == sorted((str(r["doc_id"]), encoder.encode(r["text"])) for r in mixed)
     assert counts[0] == len(rows) - 3 and counts[1] == counts[2] == 121
 

@@ -83,12 +83,15 @@ class Vocabulary:
         found.make_automaton()
         return found
 
-    def __getstate__(self) -> dict:
-        """Without what each task makes for itself."""
-        return {**self.__dict__, "seams": {}, "automaton": None}
-
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update({k: v for k, v in state.items() if k != "automaton"})
+    def plain(self) -> dict:
+        """What to send to tasks: plain values, without what each task makes for itself."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("seams", "automaton")}
+
+    @classmethod
+    def restored(cls, plain: dict) -> Vocabulary:
+        found = cls.__new__(cls)
+        found.__dict__.update(plain, seams={})
+        return found
 
     def apart(self, left: int, right: int) -> bool:
         """Whether encoding the bytes of both tokens together gives just these two.
@@ -308,13 +311,13 @@ class Encoder:
 
 
 def encode(text: Column, vocabulary: Broadcast) -> Column:
-    """The ids of each text, as ``array<int>``. ``vocabulary`` is a broadcast ``Vocabulary``.
+    """The ids of each text, as ``array<int>``. ``vocabulary`` is what ``load`` gives.
 
     The column is marked as not deterministic only so that Spark computes it once where it is used twice.
     """
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary.value)
+        encoder = Encoder(Vocabulary.restored(vocabulary.value))
         for batch in batches:
             texts, flat, ends = [t or "" for t in batch.to_pylist()], [], [0]
             for a, b in slices(np.array([len(t) for t in texts]), CHUNK):
@@ -331,7 +334,7 @@ def decode(ids: Column, vocabulary: Broadcast) -> Column:
     """The bytes that the ids stand for; no bytes for a null array."""
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        token = vocabulary.value.token
+        token = vocabulary.value["token"]
         size = np.zeros(max(token, default=0) + 1, np.int64)
         for rank, value in token.items():
             size[rank] = len(value)
@@ -357,4 +360,4 @@ def decode(ids: Column, vocabulary: Broadcast) -> Column:
 def load(spark: SparkSession, path: str, pattern: str) -> Broadcast:
     """The vocabulary of a file for all executors. Its size is the file's, whatever the documents."""
     small_batches(spark)
-    return spark.sparkContext.broadcast(Vocabulary(read_ranks(path), pattern))
+    return spark.sparkContext.broadcast(Vocabulary(read_ranks(path), pattern).plain())
