@@ -1,16 +1,14 @@
 """Reading records out of HTML pages.
 
-Pages are rarely well-formed, so a tolerant reader builds a small tree of each page inside the
-Arrow-batched worker. It returns texts and attributes as found; cleaning is left to columns.
+Pages are rarely well-formed, so the standard library's tolerant parser reads them, inside the
+Arrow-batched worker. Only the blocks that hold records are kept, as small trees. Texts and attributes
+are returned as found; cleaning is left to columns.
 """
 
 from __future__ import annotations
 
-import gc
-import re
-from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Callable, Iterator
-from html import parser, unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -24,50 +22,35 @@ SILENT_TAGS = frozenset(("script", "style", "template"))
 
 
 class Node:
-    """An element with its children, which are nodes and texts.
+    """An element with its children, which are nodes and texts."""
 
-    Elements are numbered in the order they open. Those inside this one have the numbers between
-    ``start`` and ``end``, so finding them is a look-up in the page's list of each tag.
-    """
-
-    __slots__ = ("tag", "attrs", "children", "start", "end", "index")
+    __slots__ = ("tag", "attrs", "children")
 
-    def __init__(self, tag: str, attrs: dict[str, str], start: int, index: dict[str, Tagged]):
+    def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag = tag
         self.attrs = attrs
         self.children: list[Node | str] = []
-        self.start = start
-        self.end = start + 1
-        self.index = index
-
-    def _inside(self, tag: str, css: str | None) -> Iterator[Node]:
-        starts, nodes = self.index.get(tag, ((), ()))
-        for node in nodes[bisect_right(starts, self.start):bisect_left(starts, self.end)]:
-            if css is None:
-                yield node
-            else:
-                classes = node.attrs.get("class", "")
-                if css == classes or (css in classes and css in classes.split()):
-                    yield node
-
-    def find_all(self, tag: str, css: str | None = None) -> list[Node]:
-        return list(self._inside(tag, css))
 
-    def find(self, *tags: str, css: str | None = None) -> Node | None:
-        """The first element of any of these tags."""
-        found = (next(self._inside(tag, css), None) for tag in tags)
-        return min((n for n in found if n), key=lambda n: n.start, default=None)
+    def has_class(self, css: str | None) -> bool:
+        return css is None or css in self.attrs.get("class", "").split()
 
-    def text(self) -> str:
-        parts: list[str] = []
-        stack: list[Node | str] = [self]
+    def inside(self, silent: bool = True) -> Iterator[Node | str]:
+        """Everything in this element, in the order of the page."""
+        stack = self.children[::-1]
         while stack:
             item = stack.pop()
-            if isinstance(item, str):
-                parts.append(item)
-            elif item is self or item.tag not in SILENT_TAGS:
+            yield item
+            if isinstance(item, Node) and (silent or item.tag not in SILENT_TAGS):
                 stack.extend(reversed(item.children))
-        return "".join(parts)
+
+    def find_all(self, *tags: str, css: str | None = None) -> Iterator[Node]:
+        return (n for n in self.inside() if isinstance(n, Node) and n.tag in tags and n.has_class(css))
+
+    def find(self, *tags: str, css: str | None = None) -> Node | None:
+        return next(self.find_all(*tags, css=css), None)
+
+    def text(self) -> str:
+        return "".join(item for item in self.inside(silent=False) if isinstance(item, str))
 
     def only_text(self) -> str | None:
         """The text if this element holds nothing but one text, possibly nested."""
@@ -85,155 +68,67 @@ class Node:
         return child if isinstance(child, str) else child.text()
 
 
-# Numbers of the elements of one tag, and the elements.
-Tagged = tuple[list[int], list[Node]]
-
-
-class _Tree:
-    """Builds the nodes of a page from its tags and texts."""
-
-    def __init__(self):
-        self.index: dict[str, Tagged] = {}
-        self.count = 0
-        self.root = Node("", {}, -1, self.index)
-        self.open = [self.root]
-
-    def start(self, tag: str, attrs: dict[str, str], closed: bool = False) -> None:
-        node = Node(tag, attrs, self.count, self.index)
-        starts, nodes = self.index.setdefault(tag, ([], []))
-        starts.append(self.count)
-        nodes.append(node)
-        self.count += 1
-        self.open[-1].children.append(node)
-        if not closed and tag not in VOID_TAGS:
-            self.open.append(node)
+class _Blocks(HTMLParser):
+    """Keeps the elements with one of the given tags and classes, and what is in them."""
 
-    def end(self, tag: str) -> None:
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                self.close(depth)
-                return
-
-    def close(self, depth: int = 0) -> None:
-        for node in self.open[depth:]:
-            node.end = self.count
-        del self.open[depth:]
-
-    def text(self, text: str) -> None:
-        siblings = self.open[-1].children
-        if siblings and isinstance(siblings[-1], str):
-            siblings[-1] += text
-        else:
-            siblings.append(text)
-
-
-class _Reader(HTMLParser):
-    """Reads any page, however broken."""
-
-    def __init__(self, tree: _Tree):
+    def __init__(self, wanted: Blocks | None):
         super().__init__(convert_charrefs=True)
-        self.tree = tree
-
-    def handle_starttag(self, tag, attrs):
-        self.tree.start(tag, {name: value or "" for name, value in attrs})
+        self.wanted, self.page = wanted, Node("", {})
+        # Open elements, with their nodes where they are kept, and how many of each tag there are.
+        self.open: list[tuple[str, Node | None]] = [("", self.page if wanted is None else None)]
+        self.tags: Counter[str] = Counter()
+
+    def handle_starttag(self, tag, attrs, closed=False):
+        parent, node = self.open[-1][1], None
+        if parent is not None or tag in self.wanted:
+            node = Node(tag, {name: value or "" for name, value in attrs})
+            if parent is None:
+                node, parent = (node, self.page) if node.has_class(self.wanted[tag]) else (None, None)
+            if node is not None:
+                parent.children.append(node)
+        if not closed and tag not in VOID_TAGS:
+            self.open.append((tag, node))
+            self.tags[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
-        self.tree.start(tag, {name: value or "" for name, value in attrs}, closed=True)
+        self.handle_starttag(tag, attrs, closed=True)
 
     def handle_endtag(self, tag):
-        self.tree.end(tag)
+        while self.tags[tag]:
+            last = self.open.pop()[0]
+            self.tags[last] -= 1
+            if last == tag:
+                break
 
     def handle_data(self, data):
-        self.tree.text(data)
+        node = self.open[-1][1]
+        if node is not None:
+            if node.children and isinstance(node.children[-1], str):
+                node.children[-1] += data
+            else:
+                node.children.append(data)
 
     def handle_comment(self, data):
-        self.tree.start("!", {}, closed=True)
+        if self.open[-1][1] is not None:
+            self.open[-1][1].children.append(Node("!", {}))
 
 
-# Markup that is written as it should be. Anything else is left to the reader above.
-_ATTRIBUTE = r"""\s+([^\s"'<>/=]+)(?:="([^"]*)"|='([^']*)')?(?=[\s/>]|$)"""
-_ATTRIBUTES = re.compile(_ATTRIBUTE)
-_TAG = re.compile(
-    r"<(?:/([a-zA-Z][a-zA-Z0-9-]*)|([a-zA-Z][a-zA-Z0-9-]*)((?:%s)*)\s*(/?))>"
-    % re.sub(r"\((?!\?)", "(?:", _ATTRIBUTE)
-)
-_NO_TAG = re.compile(r"<(?:(!--)(?!-?>)[^-]*(?:-[^-]+)*--|!DOCTYPE[^>\[]*)>", re.IGNORECASE)
-_RAW_TEXT = {tag: re.compile(rf"</{tag}>", re.IGNORECASE) for tag in ("script", "style")}
-_ODD_TAGS = frozenset("iframe noembed noframes noscript plaintext textarea xmp".split())
-_attribute_text = getattr(parser, "_unescape_attribute", unescape)
-
-
-def _attributes(text: str) -> dict[str, str]:
-    attrs = {}
-    for name, double, single in _ATTRIBUTES.findall(text):
-        value = double or single
-        attrs[name.lower()] = _attribute_text(value) if "&" in value else value
-    return attrs
-
-
-def _read_plain(html: str, tree: _Tree) -> bool:
-    """Build the tree of a page whose markup is all plain; False where it is not."""
-    at = 0
-    in_title = False
-    seen: dict[str, dict[str, str]] = {}  # Pages repeat their attributes; nodes may share them.
-    while True:
-        tag_at = html.find("<", at)
-        text = html[at:] if tag_at < 0 else html[at:tag_at]
-        if text:
-            tree.text(unescape(text) if "&" in text else text)
-        if tag_at < 0:
-            return not in_title
-        found = _TAG.match(html, tag_at)
-        if found is None:
-            found = None if in_title else _NO_TAG.match(html, tag_at)
-            if found is None:
-                return False
-            if found[1]:
-                tree.start("!", {}, closed=True)
-            at = found.end()
-            continue
-        at = found.end()
-        if found[1]:
-            tag = found[1].lower()
-            if in_title and tag != "title":
-                return False
-            in_title = False
-            tree.end(tag)
-            continue
-        tag = found[2].lower()
-        if in_title or tag in _ODD_TAGS:
-            return False
-        attrs = seen.get(found[3])
-        if attrs is None:
-            attrs = seen[found[3]] = _attributes(found[3])
-        tree.start(tag, attrs, closed=bool(found[4]))
-        if found[4]:
-            continue
-        in_title = tag == "title"
-        if tag in _RAW_TEXT:
-            ended = _RAW_TEXT[tag].search(html, at)
-            content = html[at:ended.start()] if ended else "<!--"
-            if "<!--" in content or f"</{tag}" in content.lower():
-                return False
-            if content:
-                tree.text(content)
-            tree.end(tag)
-            at = ended.end()
-
-
-def read_page(html: str) -> Node:
-    tree = _Tree()
-    if not _read_plain(html, tree):
-        tree = _Tree()
-        reader = _Reader(tree)
-        reader.feed(html)
-        reader.close()
-    tree.close()
-    return tree.root
+# Tags of the elements to keep, each with the class it must have or None.
+Blocks = dict[str, str | None]
+
+
+def read_page(html: str, wanted: Blocks | None = None) -> Node:
+    """The wanted elements of a page, or all of it."""
+    reader = _Blocks(wanted)
+    reader.feed(html)
+    reader.close()
+    return reader.page
 
 
 # Calendar pages ---------------------------------------------------------------------------
 
+CALENDAR_BLOCKS: Blocks = {"ul": "events"}
+
 _NAME = pa.struct([("link", pa.string()), ("text", pa.string())])
 CALENDAR_RECORD = pa.struct([
     ("badge", pa.string()),
@@ -286,6 +181,8 @@ def calendar_events(page: Node) -> list[dict]:
 
 # Results pages ----------------------------------------------------------------------------
 
+RESULTS_BLOCKS: Blocks = {"div": "atp_accordion-item"}
+
 MATCH_RECORD = pa.struct([
     ("heading", pa.string()),
     ("stats_href", pa.string()),
@@ -319,7 +216,7 @@ def _flag(svg: Node) -> str | None:
 
 def _match(node: Node) -> dict:
     cta = node.find("div", css="match-cta")
-    links = cta.find_all("a") if cta else []
+    links = cta.find_all("a") if cta else ()
     stats = next((a for a in links if "Stats" in (a.only_text() or "")), None)
     if stats is not None and "href" not in stats.attrs:
         return {"error": "stats link without an address"}
@@ -345,6 +242,8 @@ def matches(page: Node) -> list[dict]:
 
 # Any page ---------------------------------------------------------------------------------
 
+LINK_BLOCKS: Blocks = {"title": None, "h1": None, "nav": None}
+
 LINK_RECORD = pa.struct([
     ("title", pa.string()),
     ("heading", pa.string()),
@@ -382,7 +281,7 @@ LINK_DDL = "title string, heading string, href string, text string, error string
 PAGE_ERROR = "unreadable page: "
 
 
-def records(html: Column, read: Callable[[Node], list[dict]], ddl: str, record: pa.DataType) -> Column:
+def records(html: Column, read: Callable[[Node], list[dict]], wanted: Blocks, ddl: str, record: pa.DataType) -> Column:
     """Array of the records that ``read`` finds in each page. Only the page text goes to Python.
 
     A page that the parser gives up on yields one record, whose ``error`` begins with ``PAGE_ERROR``.
@@ -393,20 +292,12 @@ def records(html: Column, read: Callable[[Node], list[dict]], ddl: str, record:
         if html is None:
             return None
         try:
-            page = read_page(html)
-            found = read(page)
+            return read(read_page(html, wanted))
         except Exception as e:  # whatever is in a page, the others go on
             return [{"error": f"{PAGE_ERROR}{type(e).__name__}: {e}"}]
-        page.index.clear()  # The index and its nodes refer to each other; this frees both.
-        return found
 
     @F.arrow_udf(returnType=f"array<struct<{ddl}>>")
     def read_pages(pages: pa.Array) -> pa.Array:
-        # Pages free themselves, so looking for cycles among their many nodes is wasted time.
-        gc.disable()
-        try:
-            return pa.array([read_one(html) for html in pages.to_pylist()], type=list_type)
-        finally:
-            gc.enable()
+        return pa.array([read_one(html) for html in pages.to_pylist()], type=list_type)
 
     return read_pages(html)

@@ -37,7 +37,7 @@ def _page_lists(
 
 
 def _calendar_found() -> Column:
-    return H.records(F.col("html"), H.calendar_events, H.CALENDAR_DDL, H.CALENDAR_RECORD)
+    return H.records(F.col("html"), H.calendar_events, H.CALENDAR_BLOCKS, H.CALENDAR_DDL, H.CALENDAR_RECORD)
 
 
 def _readable_event(r: Column) -> Column:
@@ -85,7 +85,7 @@ def calendar_lists(pages: DataFrame, root_url: str) -> DataFrame:
 
 
 def _matches_found() -> Column:
-    return H.records(F.col("html"), H.matches, H.MATCH_DDL, H.MATCH_RECORD)
+    return H.records(F.col("html"), H.matches, H.RESULTS_BLOCKS, H.MATCH_DDL, H.MATCH_RECORD)
 
 
 def match_candidates(pages: DataFrame) -> DataFrame:
@@ -191,7 +191,7 @@ def match_lists(pages: DataFrame, root_url: str) -> DataFrame:
 
 def page_links(pages: DataFrame) -> DataFrame:
     """Title, first heading and each navigation link of any page."""
-    found = H.records(F.col("html"), H.navigation_links, H.LINK_DDL, H.LINK_RECORD)
+    found = H.records(F.col("html"), H.navigation_links, H.LINK_BLOCKS, H.LINK_DDL, H.LINK_RECORD)
     return _explode_records(pages, found).filter("r.error IS NULL").select("*", "r.*").drop("r", "error")
 
 
@@ -210,7 +210,7 @@ def unreadable_matches(pages: DataFrame) -> DataFrame:
 
 def unreadable_pages(pages: DataFrame) -> DataFrame:
     """Pages that the parser gives up on, with its ``error``."""
-    found = H.records(F.col("html"), H.navigation_links, H.LINK_DDL, H.LINK_RECORD)
+    found = H.records(F.col("html"), H.navigation_links, H.LINK_BLOCKS, H.LINK_DDL, H.LINK_RECORD)
     return _set_aside(_explode_records(pages, found), lambda r: ~F.coalesce(r["error"].startswith(H.PAGE_ERROR), F.lit(False)))
 
 
