@@ -10,6 +10,7 @@ from tidemark.operators import quality as Q
 from tidemark.plans import calendar as C
 from tidemark.plans import results as R
 from tidemark.plans.tournaments import tournaments
+from tidemark.sources.landing import stored
 from tidemark.sources.sql_text import register_views
 
 # What must not be NULL in each relation, and what must be unique.
@@ -30,12 +31,18 @@ UNIQUE = {
 
 def staging(
     calendar_raw: DataFrame, tournaments_raw: DataFrame, results_raw: DataFrame,
-    basis: str = "as_written", guarded: bool = False, whole_version: bool = False,
+    basis: str = "as_written", guarded: bool = False, whole_version: bool = False, store: bool = False,
 ) -> dict[str, DataFrame]:
-    """All relations by name, nothing computed yet."""
-    matches = R.all_results(results_raw)
+    """All relations by name, nothing computed yet.
+
+    With ``store`` the flattened calendar and matches are written once and read from there, so that
+    no document is parsed again for each relation and check over them.
+    """
+    matches, calendar = R.all_results(results_raw), C.calendar(calendar_raw)
+    if store:
+        matches, calendar = stored(matches, "matches"), stored(calendar, "calendar")
     return {
-        "calendar": C.calendar(calendar_raw),
+        "calendar": calendar,
         "calendar_changes": C.calendar_changes(calendar_raw, guarded=guarded),
         "tournaments": tournaments(tournaments_raw, whole_version=whole_version),
         "results": R.latest_results(matches),

@@ -68,9 +68,8 @@ def dq_unique_expr(spark, sf_dir):
 """)
 def dq_all_checks(spark, sf_dir):
     """Every check of the five relations, and two on a relation where one of them must fail."""
-    calendar = L.stored(calendar_raw(spark, sf_dir), "calendar")
+    calendar = L.stored(calendar_raw(spark, sf_dir), "raw-calendar")
     details = L.stored(L.raw_table(order_details(spark, sf_dir)), "details")
-    matches = L.stored(match_raw(spark, sf_dir), "matches")
-    relations = staging(calendar, details, matches, guarded=True, whole_version=True)
+    relations = staging(calendar, details, match_raw(spark, sf_dir), guarded=True, whole_version=True, store=True)
     links = Q.suite("links", relations["calendar"], ["url"], ["url", "meta_file_modified"])
     return checks(relations).unionByName(links)
