@@ -20,7 +20,7 @@ LINE_SQL = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
 
 
 @query("url_segment", """
-    SELECT split_part(regexp_replace(url, '^https?://', ''), '/', 2) AS segment, count(*) AS n
+    SELECT regexp_extract(url, '^https?://[^/]+/([^/]*)', 1) AS segment, count(*) AS n
     FROM pages GROUP BY 1
 """)
 def url_segment(spark, sf_dir):
@@ -206,16 +206,10 @@ def winner_class(spark, sf_dir):
 
 
 @query("set_scores", f"""
-    WITH s AS (
-        SELECT {LINE_SQL}, l_quantity::INT AS q, l_linenumber AS n,
-               [CASE WHEN q % 2 = 1 THEN '7' ELSE '6' END, n::VARCHAR, q::VARCHAR] AS a,
-               [CASE WHEN q % 2 = 1 THEN '6(' || n || ')' ELSE '4' END,
-                CASE WHEN q % 3 = 0 THEN '7(' || q || ')' ELSE '5' END] AS b
-        FROM lineitem)
-    SELECT {LINE_SQL},
-           CASE WHEN n = 7 THEN '' ELSE array_to_string([
-               regexp_replace(x, '^([^(]*)(\\([^)]*\\))(.*)$', '\\1\\3\\2')
-               for x in [a[i] || b[i] for i in range(1, least(len(a), len(b)) + 1)]], ' ') END AS score
+    WITH s AS (SELECT {LINE_SQL}, l_quantity::INT AS q, l_linenumber AS n FROM lineitem)
+    SELECT {LINE_SQL}, CASE WHEN n = 7 THEN '' ELSE
+        CASE WHEN q % 2 = 1 THEN '76(' || n || ')' ELSE '64' END || ' ' || n
+        || CASE WHEN q % 3 = 0 THEN '7(' || q || ')' ELSE '5' END END AS score
     FROM s
 """)
 def set_scores(spark, sf_dir):
