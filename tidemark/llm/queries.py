@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, language_id, link_trust, lm_scoring, minhash, mixing, near_vectors, personal_data, suffix_dedup, top_k
+from tidemark.llm import (
+    bpe, language_id, link_trust, lm_scoring, minhash, mixing, near_vectors, oracles, personal_data, suffix_dedup, top_k,
+)
 from tidemark.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,7 +59,7 @@ def documents_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_suffix_dedup")
+@query("op3_suffix_dedup", oracles.SUFFIX_DEDUP)
 def documents_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.removed(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
@@ -80,20 +82,20 @@ def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op7_minhash")
+@query("op7_minhash", oracles.MINHASH)
 def documents_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
     return found.withColumnRenamed("id", "doc_id")
 
 
-@query("op6_near_vectors")
+@query("op6_near_vectors", oracles.NEAR_VECTORS)
 def embeddings_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"), 0.95).select(
         F.col("id").alias("vec_id"), "n_links", "component_id", "kept"
     )
 
 
-@query("op8_top_k")
+@query("op8_top_k", oracles.TOP_K)
 def embeddings_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
