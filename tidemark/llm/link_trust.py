@@ -30,6 +30,8 @@ from tidemark.llm.common import checkpointed, stored
 MAX_RULES = 1000
 #: The share that goes on along the edges, rounds, and rounds between two checkpoints.
 DAMPING, ROUNDS, CHECKPOINT = 0.85, 12, 4
+#: Hosts that one task of a round holds.
+ROWS = 100_000
 #: Distrust's part of trust and distrust together above which a host is blocked.
 THRESHOLD = 0.5
 #: Sums of doubles differ in their last places with the order of adding, so results are rounded.
@@ -103,12 +105,13 @@ def propagate(hosts: DataFrame, edges: DataFrame, seed: str, name: str) -> DataF
 
     What would leave a host without edges is lost, which lowers all alike.
     """
-    total = hosts.agg(F.sum(seed)).first()[0] or 0.0
+    total, rows = hosts.agg(F.sum(seed), F.count("*")).first()
     if not total:
         return hosts.select("host", F.lit(0.0).alias(name))
+    tasks = max(1, rows // ROWS)
     out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
-    steps = checkpointed(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")))
-    base = checkpointed(hosts.select("host", (F.col(seed) / total).alias("base")))
+    steps = checkpointed(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")).coalesce(tasks))
+    base = checkpointed(hosts.select("host", (F.col(seed) / total).alias("base")).coalesce(tasks))
     now = base.withColumn("rank", F.col("base"))
     for round_ in range(1, ROUNDS + 1):
         moved = now.join(steps, now["host"] == steps["src"]).groupBy("dst").agg(
@@ -116,7 +119,7 @@ def propagate(hosts: DataFrame, edges: DataFrame, seed: str, name: str) -> DataF
         )
         now = base.join(moved, base["host"] == moved["dst"], "left").select("host", "base", (
             (1 - DAMPING) * F.col("base") + DAMPING * F.coalesce("moved", F.lit(0.0))
-        ).alias("rank"))
+        ).alias("rank")).coalesce(tasks)
         if round_ % CHECKPOINT == 0 and round_ < ROUNDS:
             now = checkpointed(now)
     return now.select("host", F.col("rank").alias(name))
