@@ -10,6 +10,7 @@ from tidemark.functions import text as T
 from tidemark.functions import urls as U
 from tidemark.functions.binding import let
 from tidemark.operators import extract as E
+from tidemark.plans import payloads as M
 from workload.registry import DATA_ROOT, ROOT, query, table
 
 LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -295,3 +296,45 @@ def payload_quarantine(spark, sf_dir):
     cut = F.when(F.col("event_type") == "error", F.base64(F.encode(F.lit("broken"), "UTF-8")))
     received = event_payloads(spark, sf_dir).withColumn("response", F.coalesce(cut, "response"))
     return E.unreadable_payloads(received).select("event_id")
+
+
+@query("payload_chain", """
+    WITH p AS (
+        SELECT *, year(ts) AS y, 'MS' || event_id AS m, strftime(ts, '%Y%m%d_%H%M%S') AS t,
+               ['match-info', 'key-stats', 'rally-analysis', 'stroke-analysis', 'court-vision'][event_id % 5 + 1] AS data_type,
+               ['keystats', 'rally-analysis', 'stroke-analysis', 'courtvision'][event_id % 5] AS file
+        FROM events)
+    SELECT event_id, data_type,
+        CASE WHEN data_type = 'match-info'
+             THEN 'https://www.example.org/-/Hawkeye/MatchStats/Complete/' || y || '/' || user_id || '/' || m
+             ELSE 'https://data.example.org/stats/' || y || '/' || user_id || '/' || m || '/' || file || '.json' END AS url,
+        CASE WHEN event_type <> 'error' THEN 'raw/match-stats/year=' || y || '/tourn=' || user_id || '/F_User-' || user_id
+             || '_P2_' || m || '_' || data_type || '_' || t || '.json' END AS key,
+        CASE WHEN event_type <> 'error' THEN json_extract(props, '$.k')::INT END AS k,
+        CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00') END AS scraped_at
+    FROM p
+""")
+def payload_chain(spark, sf_dir):
+    """All five kinds, from address to document and manifest. Those of error events arrive cut short and are set aside."""
+    events = table(spark, sf_dir, "events").withColumnRenamed("props", "plain")
+    kinds = F.array(*[F.lit(k) for k in M.fixed.MATCH_DATA_URLS])
+    received = event_payloads(spark, sf_dir).drop("event_type").join(events, "event_id").select(
+        "event_id", F.col("ts").alias("retrieved_at"), F.year("ts").alias("year"), F.col("user_id").alias("tournament_id"),
+        F.concat(F.lit("ms"), "event_id").alias("match_id"), F.lit("Final").alias("round"),
+        F.concat(F.lit("User "), "user_id").alias("player1_name"), F.lit(None).cast("string").alias("player2_name"),
+        F.get(kinds, (F.col("event_id") % 5).cast("int")).alias("data_type"), "lastModified",
+        F.when(F.col("event_type") == "error", F.lit("{ broken"))
+        .when(F.col("event_id") % 5 == 0, F.col("plain")).otherwise(F.col("response")).alias("response"),
+    )
+    asked = M.addresses(received.select("event_id", "year", "tournament_id", "match_id"), ROOT, DATA_ROOT)
+    found = M.opened(received.join(asked.select("event_id", "data_type", "url"), ["event_id", "data_type"]))
+    documents, listed = M.documents(found), M.manifest(found)
+    landed = documents.join(listed, documents["meta_file_name"] == listed["key"]).select(
+        F.regexp_extract("match_id", r"(\d+)$", 1).cast("bigint").alias("event_id"), "key", "scraped_at",
+        F.get_json_object("data", "$.data.k").cast("int").alias("k"),
+    )
+    aside = M.set_aside(found).select("event_id", "data_type", "url", *[
+        F.lit(None).cast(t).alias(c) for c, t in (("key", "string"), ("k", "int"), ("scraped_at", "string"))
+    ])
+    whole = M.readable(found).select("event_id", "data_type", "url").join(landed, "event_id")
+    return whole.select(*aside.columns).union(aside)
