@@ -303,7 +303,7 @@ def test_top_k(spark, monkeypatch):
 
 @pytest.mark.parametrize("shingle", [2, 5])
 def test_minhash(documents, monkeypatch, shingle):
-    monkeypatch.setattr(minhash, "FEW", 0)  # so that drawn members are compared as well
+    monkeypatch.setattr(minhash, "GROUP", 3)  # so that buckets are dealt into groups
     rnd, rows = random.Random(shingle), []
     for family in range(12):
         own = rnd.choices([f"w{k}" for k in range(300)], k=rnd.choice([3, 12, 60, 200]))

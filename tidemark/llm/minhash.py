@@ -2,14 +2,17 @@
 
 A document's set holds the distinct shingles of its words. Under each permutation both the least and the
 largest hash of the set are kept, so half the hash evaluations give a signature of the same length. Bands
-of ``ROWS`` values, each from permutations of its own, bring similar documents together: two of
-similarity 0.8 share none of the ``BANDS`` bands once in 300,000 times.
+of ``ROWS`` values bring similar documents together: two of similarity 0.8 share none of the ``BANDS``
+bands about once in 40,000 times, and two of similarity 0.1, as any two texts may have, share one about
+once in 100,000 times, so that buckets fill slowly as the corpus grows.
 
 Documents with equal sets are one class, of which only the smallest id goes on. Within a band's bucket
 no pairs are listed: each member is compared with the bucket's smallest id, on the full sets of their
-texts. What these links leave apart is compared with further members, drawn anew by hash, for as long as
-that joins much; the pairs of a bucket that are still in different components are then compared one by
-one. So no pair that shares a bucket is left open.
+texts. The members of a crowded bucket are also dealt into small groups by hash, several times, and
+compared with the first of their group, which joins nearly all of a family whose members differ much from
+the smallest id. Members of a bucket that are in different components even so are then compared one by
+one, those outside the bucket's largest component with all others, if as many values of their signatures
+agree as those of nearly all links do. So no pair that shares a bucket is left open.
 
 Defined results: a text that is null, empty or without words has an empty set and links with nothing.
 With fewer words than a shingle has, the whole sequence is the one shingle. Each input row is returned.
@@ -20,25 +23,23 @@ null, and is kept.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import checkpointed, slices, small_batches, stored
 from tidemark.llm.components import components
 
-#: Bands, values in a band, and permutations that the values come from, two of each.
-BANDS, ROWS = 24, 4
-PERMUTATIONS = BANDS * ROWS // 2
+#: Bands and values in a band; permutations, of which two values each are cut into bands in several orders.
+BANDS, ROWS, PERMUTATIONS = 72, 7, 64
 SEED = 20_240_611
 #: Characters hashed together, and hash values of one document held together.
 CHUNK, WIDTH = 1 << 21, 1 << 14
-#: Rounds of comparing with drawn members at most, before the rest is compared pair by pair; so it is at
-#: once when there are no more than this many pairs for each member.
-ROUNDS, FEW = 6, 4
+#: Members of a bucket's groups, on average, and how often a crowded bucket is dealt into groups.
+GROUP, DRAWS = 8, 4
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -85,19 +86,21 @@ def signature(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def bands(least: np.ndarray, largest: np.ndarray) -> np.ndarray:
-    """A hash of each band's values: half of them least, half largest, of different permutations."""
-    half = ROWS // 2
-    values = np.concatenate([
-        least.reshape(BANDS, half), np.roll(largest.reshape(BANDS, half), 1, axis=0),
-    ], axis=1)
+    """A hash of each band's values. Each order of all values is cut into bands that share none."""
+    draw, values = np.random.default_rng(SEED + 1), np.append(least, largest)
+    each = len(values) // ROWS
+    picked = np.concatenate([draw.permutation(len(values))[:each * ROWS] for _ in range(BANDS // each)]).reshape(BANDS, ROWS)
     found = np.arange(1, BANDS + 1, dtype=np.uint64)
     for k in range(ROWS):
-        found = _stir(found * np.uint64(5) + values[:, k])
+        found = _stir(found * np.uint64(5) + values[picked[:, k]])
     return found.view(np.int64)
 
 
 def signatures(documents: DataFrame, shingle: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``(id, n_shingles, fingerprint, bands)`` of every row; the fingerprint tells equal sets."""
+    """``(id, n_shingles, fingerprint, bands, values)`` of every row.
+
+    The fingerprint tells equal sets; ``values`` has a byte of each of the signature's values.
+    """
     small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,17 +114,20 @@ def signatures(documents: DataFrame, shingle: int, text: str = "text", doc_id: s
                 for ws in words:
                     start, end = end, end + len(ws)
                     if not ws:
-                        found.append((0, None, None))
+                        found.append((0, None, None, None))
                         continue
                     own = shingle_hashes(hashes[start:end], shingle)
-                    found.append((len(own), hashlib.blake2b(own.tobytes(), digest_size=16).digest(), bands(*signature(own))))
+                    mark = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+                    least, largest = signature(own)
+                    values = _stir(np.append(least, largest)).astype(np.uint8).view(np.int8)
+                    found.append((len(own), mark, bands(least, largest), values))
             yield pd.DataFrame({
                 "id": batch["id"].astype("Int64"), "n_shingles": [f[0] for f in found],
-                "fingerprint": [f[1] for f in found], "bands": [f[2] for f in found],
+                "fingerprint": [f[1] for f in found], "bands": [f[2] for f in found], "values": [f[3] for f in found],
             })
 
     given = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return given.mapInPandas(run, "id long, n_shingles long, fingerprint binary, bands array<long>")
+    return given.mapInPandas(run, "id long, n_shingles long, fingerprint binary, bands array<long>, values array<tinyint>")
 
 
 def linked_pairs(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -156,44 +162,51 @@ def near_duplicates(
         classes, (known["fingerprint"] == classes["fingerprint"]) & (known["id"] == classes["class"]), "left_semi"
     )
     spread = first.select("id", "n_shingles", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.count_distinct("id").alias("n")).filter("n > 1").select("bucket")
+    shared = spread.groupBy("bucket").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x < y").select("bucket")
     members = stored(spread.join(shared, "bucket").dropDuplicates(["bucket", "id"]), "members")
     given = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     texts = stored(given.join(members.select("id").distinct(), "id", "left_semi"), "texts")
+    values = first.select("id", "bands", "values").dropDuplicates(["id"])
 
     def compare(pairs: DataFrame) -> DataFrame:
-        return linked_pairs(pairs.distinct(), texts, shingle, percent)
-
-    def by_center(open_: DataFrame, order) -> DataFrame:
-        """Every member of a bucket with the one that comes first in ``order``, if their sizes allow a link."""
-        best = open_.groupBy("bucket").agg(F.min(F.struct(order.alias("o"), "id", "n_shingles", "component")).alias("c"))
-        both = open_.join(best, "bucket").filter("component <> c.component")
-        small, large = F.least("n_shingles", "c.n_shingles"), F.greatest("n_shingles", "c.n_shingles")
-        return both.filter(100 * small >= percent * large).select(
-            F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b")
-        )
-
-    links = checkpointed(same.union(compare(by_center(members.withColumn("component", F.col("id")), F.col("id")))))
-    for round_ in range(ROUNDS + 1):
-        now = members.join(components(links), "id", "left").withColumn("component", F.coalesce("component", "id"))
-        parts = now.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"), F.count("*").alias("parts")
-        ).filter("parts > 1")
-        open_ = checkpointed(now.join(parts.select("bucket"), "bucket"))
-        members_left, pairs_left = parts.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("inside")) / 2)).first()
-        if not pairs_left:
-            break
-        if round_ < ROUNDS and pairs_left > FEW * members_left:
-            links = links.union(checkpointed(compare(by_center(open_, F.xxhash64("id", F.lit(round_))))))
-            continue
-        left = open_.select("bucket", F.col("id").alias("a"), F.col("n_shingles").alias("m"), F.col("component").alias("x"))
-        right = open_.select("bucket", F.col("id").alias("b"), F.col("n_shingles").alias("n"), F.col("component").alias("y"))
-        close = (F.col("a") < F.col("b")) & (F.col("x") != F.col("y")) & (
-            100 * F.least("m", "n") >= percent * F.greatest("m", "n")
-        )
-        links = links.union(checkpointed(compare(left.join(right, "bucket").filter(close).select("a", "b"))))
-        break
+        return checkpointed(linked_pairs(pairs.distinct(), texts, shingle, percent))
+
+    def sizes_allow(m: str, n: str) -> Column:
+        return 100 * F.least(m, n) >= percent * F.greatest(m, n)
+
+    def with_first(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
+        """Every member of a group with the one that comes first in it."""
+        first_ = rows.groupBy(*groups).agg(F.min_by(F.struct("id", "n_shingles"), F.struct("place", "id")).alias("c"))
+        both = rows.join(first_, [*groups]).filter((F.col("id") != F.col("c.id")) & sizes_allow("n_shingles", "c.n_shingles"))
+        return both.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b"))
+
+    crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP)
+    deal = members.join(crowded, "bucket").withColumn("draw", F.explode(F.array(*[F.lit(k) for k in range(DRAWS)])))
+    deal = deal.withColumn("group", F.pmod(F.xxhash64("id", "draw"), F.ceil(F.col("n") / GROUP)))
+    nearby = with_first(deal.withColumn("place", F.xxhash64("id", "draw", F.lit(1))), ["bucket", "draw", "group"])
+    stars = with_first(members.withColumn("place", F.col("id")), ["bucket"])
+    links = same.union(compare(stars.union(nearby)))
     reached = components(links)
+
+    now = members.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    parts = now.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")
+    ).filter("parts > 1").select("bucket", "main")
+    open_ = checkpointed(now.join(parts, "bucket").join(values, "id"))
+    left, right = open_.filter("component <> main").alias("l"), open_.alias("r")
+    agree = F.filter(F.zip_with("l.values", "r.values", lambda x, y: x == y), lambda yes: yes)
+    share = percent / 100
+    least = int(2 * PERMUTATIONS * share - 4.25 * (2 * PERMUTATIONS * share * (1 - share)) ** 0.5)
+    pairs = left.join(
+        right,
+        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.component") != F.col("r.component"))
+        & ((F.col("r.component") == F.col("r.main")) | (F.col("l.id") < F.col("r.id")))
+        & sizes_allow("l.n_shingles", "r.n_shingles") & (F.size(agree) >= least)
+        # A pair that shares several buckets is taken in the first of them.
+        & (F.get(F.array_intersect("l.bands", "r.bands"), F.lit(0)) == F.col("l.bucket")),
+    ).select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
+    found = compare(pairs)
+    reached = components(reached.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found))
     return marked.join(reached, "id", "left").select(
         "id", "n_shingles", F.coalesce("component", "id").alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)))
