@@ -8,9 +8,9 @@ once in 100,000 times, so that buckets fill slowly as the corpus grows.
 
 Documents with equal sets are one class, of which only the smallest id goes on. Within a band's bucket
 no pairs are listed: each member is compared with the bucket's smallest id, on the full sets of their
-texts. The members of a crowded bucket are also dealt into small groups by hash, several times, and
-compared with the first of their group, which joins nearly all of a family whose members differ much from
-the smallest id. Members of a bucket that are in different components even so are then compared one by
+texts. In the most crowded of its buckets, each is also dealt into small groups by hash, several times,
+and compared with the first of its group, which joins nearly all of a family whose members differ much
+from the smallest id. Members of a bucket that are in different components even so are then compared one by
 one, those outside the bucket's largest component with all others, if as many values of their signatures
 agree as those of nearly all links do. So no pair that shares a bucket is left open.
 
@@ -181,7 +181,10 @@ def near_duplicates(
         return both.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b"))
 
     crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP)
-    deal = members.join(crowded, "bucket").withColumn("draw", F.explode(F.array(*[F.lit(k) for k in range(DRAWS)])))
+    home = members.join(crowded, "bucket").groupBy("id").agg(
+        F.max_by(F.struct("bucket", "n", "n_shingles"), F.struct("n", "bucket")).alias("home")
+    ).select("id", "home.*")
+    deal = home.withColumn("draw", F.explode(F.array(*[F.lit(k) for k in range(DRAWS)])))
     deal = deal.withColumn("group", F.pmod(F.xxhash64("id", "draw"), F.ceil(F.col("n") / GROUP)))
     nearby = with_first(deal.withColumn("place", F.xxhash64("id", "draw", F.lit(1))), ["bucket", "draw", "group"])
     stars = with_first(members.withColumn("place", F.col("id")), ["bucket"])
