@@ -108,6 +108,31 @@ def test_personal_data_learned(documents):
     assert spans[1] == (0, 1) and spans[2] == (1, 1) and spans[3] == (0, 0)
 
 
+def test_personal_data_loose(documents):
+    """Cards with other separators, national phones and addresses written out are added where they are common."""
+
+    def card(k):
+        digits = [int(c) for c in f"4{k * 7919 % 10**14:014d}"]
+        total = sum(d if j % 2 else 2 * d - 9 * (d > 4) for j, d in enumerate(digits))
+        return "".join(map(str, digits)) + str(-total % 10)
+
+    def fours(k, sign):
+        return sign.join(card(k)[j:j + 4] for j in range(0, 16, 4))
+
+    def row(k):
+        sign = (" ", ".", "/", "-", "  ")[k % 5]
+        return f"{EN} card {fours(k, sign)} and user (at) mail{k}{' (dot) ' if k % 2 else '.'}org, or phone 0555 {k:03d} 9999 ok, order 77 {k:03d} 8888 ok"
+
+    model = personal_data.learn(documents(*[(k, row(k)) for k in range(700)]))
+    assert all(np.isfinite(model.threshold[k]) for k in (personal_data.CARD, personal_data.EMAIL, personal_data.PHONE))
+    parts = [fours(9001, "."), fours(9002, "  "), "user (at) mail7 (dot) org", "0555 123 9999"]
+    text = f"{EN} card {parts[0]} and card {parts[1]} and {parts[2]}, or phone {parts[3]} ok, order 77 123 8888 ok"
+    found = personal_data.find(documents((1, text), (2, f"{EN} order 77 123 8888 ok")), model).collect()
+    spans = {r["doc_id"]: [(text[s["start"]:s["end"]], personal_data.KINDS[s["kind"]]) for s in r["personal"]["spans"]] for r in found}
+    assert spans == {1: list(zip(parts, ("card", "card", "email", "phone"))), 2: []}
+    assert all(r["personal"]["base"] == [] for r in found)
+
+
 def test_personal_data_empty_table(documents):
     df = documents()
     assert personal_data.find(df, personal_data.learn(df)).collect() == []

@@ -3,10 +3,12 @@
 Strict rules give the base spans: e-mail addresses, IP addresses, payment cards with a valid check digit,
 and international phone numbers. Generators of high recall propose further spans, which may overlap:
 what the strict patterns match but the checks refuse, addresses written with ``(at)`` or ``[dot]``, and
-runs of digits with other separators. Each candidate is described by its format and its surroundings,
-without the checks. Boosted trees learn from the corpus itself which descriptions go with spans that pass
-the checks; all they need is a count of candidates for each description, which has a bounded number of
-rows and is summed over all documents. Half of the texts, by hash, are for fitting, the other half for
+runs of digits with other separators. These are checked in their normal form: written-out signs
+replaced, separators left out; a phone without ``+`` by its digits and a cue before it. Runs that are or
+hold what a strict pattern has found already are no candidates of their own. Each candidate is described
+by its format and its surroundings, without the checks. Boosted trees learn from the corpus itself which
+descriptions go with spans that pass the checks; all they need is a count of candidates for each
+description, which has a bounded number of rows and is summed over all documents. Half of the texts, by hash, are for fitting, the other half for
 calibration: each kind's threshold is the lowest score above which candidates pass the checks as often as
 ``PRECISION``. Candidates above it are added to the base spans, unless one of the same kind is there.
 
@@ -19,7 +21,6 @@ nothing is added to its base spans. Repeated rows stay repeated; other columns s
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -128,6 +129,32 @@ def passes(kind: int, value: Column) -> Column:
     ))
 
 
+def passes_loosely(kind: int, match: Column) -> Column:
+    """Whether a loose candidate passes its kind's check in its normal form."""
+    value = match["value"]
+    if kind == EMAIL:
+        plain = F.regexp_replace(F.regexp_replace(value, r"\x20?[(\[]at[)\]]\x20?", "@"), r"\x20?[(\[]dot[)\]]\x20?", ".")
+        return plain.rlike(rf"^[{LOCAL}]++@(?:[{LABEL}]++\.)++[A-Za-z]{{2,}}$")
+    address = value.rlike(rf"^{STRICT[IP]}$") & passes(IP, value)
+    if kind == CARD:
+        return ~address & passes(CARD, value)
+    return match["before"].rlike(CUES[PHONE]) & ~address & ~holds_card(value) & passes(PHONE, value)
+
+
+def holds_card(value: Column) -> Column:
+    """Whether a run of digits holds a base span. What the strict pattern matches lies within one run."""
+    return F.exists(F.regexp_extract_all(value, F.lit(STRICT[CARD]), F.lit(0)), lambda v: passes(CARD, v))
+
+
+def found_strictly(kind: int, match: Column) -> Column:
+    """Whether a run of digits is a strict candidate of its kind, or meets a base span of it."""
+    value = match["value"]
+    if kind == CARD:
+        return value.rlike(rf"^{STRICT[CARD]}$") | holds_card(value)
+    number = F.regexp_extract(F.concat(F.lit("+"), value), f"^{STRICT[PHONE]}", 0)
+    return match["before"].endswith("+") & passes(PHONE, number)
+
+
 def kind_of_character(c: Column) -> Column:
     """0 nothing or white space, 1 letter, 2 digit, 3 anything else."""
     return F.when((c == "") | c.rlike(r"\s"), 0).when(c.rlike(r"\p{L}"), 1).when(c.rlike("[0-9]"), 2).otherwise(3)
@@ -144,6 +171,7 @@ def described(kind: int, match: Column) -> Column:
     kinds = F.filter(signs, lambda s: s != "")
     return F.struct(
         match["start"].alias("start"), match["end"].alias("end"), F.lit(kind).alias("kind"), match["passed"].alias("passed"),
+        match["good"].alias("good"),
         sizes.alias("digits"),
         F.when(F.size(kinds) == 0, 0).when(F.size(kinds) > 1, 4).when(kinds[0] == " ", 1).when(kinds[0] == "-", 2)
         .otherwise(3).alias("separators"),
@@ -156,24 +184,27 @@ def described(kind: int, match: Column) -> Column:
 
 
 def candidates(text: Column) -> Column:
-    """All candidates of a text. Those that ``passed`` are the base spans."""
+    """All candidates of a text. Those that ``passed`` are the base spans, ``good`` ones pass their check."""
     given = F.coalesce(text, F.lit(""))
 
     def strict(kind: int) -> Column:
-        checked = F.transform(matches(given, STRICT[kind]), lambda m: m.withField("passed", passes(kind, m["value"])))
+        checked = F.transform(matches(given, STRICT[kind]), lambda m: let(
+            passes(kind, m["value"]), lambda p: m.withField("passed", p).withField("good", p)
+        ))
         return F.transform(checked, lambda m: described(kind, m))
 
-    def loose(pattern: str, kind: int, keep: Callable[[Column], Column]) -> Column:
-        found = F.filter(matches(given, pattern), lambda m: keep(m["value"]))
-        return F.transform(F.transform(found, lambda m: m.withField("passed", F.lit(False))), lambda m: described(kind, m))
+    def loose(found: Column, kind: int) -> Column:
+        checked = F.transform(found, lambda m: m.withField("passed", F.lit(False)).withField("good", passes_loosely(kind, m)))
+        return F.transform(checked, lambda m: described(kind, m))
 
     def runs(m: Column, kind: int, least: int, most: int) -> Column:
-        fits = F.filter(m, lambda x: F.char_length(digits_of(x["value"])).between(least, most))
-        return F.transform(F.transform(fits, lambda x: x.withField("passed", F.lit(False))), lambda x: described(kind, x))
+        return loose(F.filter(m, lambda x: (
+            F.char_length(digits_of(x["value"])).between(least, most) & ~found_strictly(kind, x)
+        )), kind)
 
     return F.concat(
         *[strict(kind) for kind in range(len(KINDS))],
-        loose(WRITTEN_OUT, EMAIL, lambda v: F.lit(True)),
+        loose(matches(given, WRITTEN_OUT), EMAIL),
         let(matches(given, DIGIT_RUN), lambda m: F.concat(runs(m, CARD, 12, 19), runs(m, PHONE, 9, 15))),
     )
 
@@ -234,7 +265,7 @@ def learn(documents: DataFrame, text: str = "text") -> Model:
         F.pmod(F.xxhash64(F.col(text)), F.lit(2)).alias("fold"), F.explode(candidates(F.col(text))).alias("c")
     )
     counts = described_.groupBy("fold", "c.kind", *[f"c.{name}" for name in FEATURES]).agg(
-        F.count("*").alias("n"), F.count_if("c.passed").alias("passed")
+        F.count("*").alias("n"), F.count_if("c.good").alias("good")
     )
     rows, model = sorted(tuple(r) for r in counts.collect()), Model()
     for kind in range(len(KINDS)):
