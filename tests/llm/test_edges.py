@@ -258,6 +258,25 @@ def test_link_trust_ranks(spark):
         assert abs(r["judged"]["trust"] - trust[h]) < 1e-8 and abs(r["judged"]["distrust"] - distrust[h]) < 1e-8
 
 
+def test_link_trust_small_shares(spark):
+    """A host's verdict doesn't hang on how many other hosts have seeds."""
+    html = "".join(f'<a href="http://{h}/">' for h in ("one.bad.org", *(f"f{k}.net" for k in range(299))))
+    few = [("http://spam.net/", html), ("http://one.bad.org/", None), *((f"http://f{k}.net/", None) for k in range(299))]
+    many = spark.range(200_000).selectExpr("id + 1000 AS page_id", "concat('http://h', id, '.bad.org/') AS url",
+                                           "CAST(NULL AS string) AS html", "'x' AS host")
+    for rows in (pages(spark, *few), pages(spark, *few).union(many)):
+        judged = link_trust.verdicts(rows, RULES).filter("page_id = 0").first()["judged"]
+        assert judged["verdict"] == "block" and judged["distrust"] > 0
+
+
+def test_link_trust_chain(spark):
+    """Distrust comes over more than a dozen hosts."""
+    rows = [(f"http://c{k}.net/", f'<a href="http://c{k + 1}.net/">') for k in range(20)]
+    rows += [("http://c20.net/", '<a href="http://bad.org/">'), ("http://bad.org/", None)]
+    found = by_id(link_trust.verdicts(pages(spark, *rows), RULES), "page_id")
+    assert {found[k]["judged"]["verdict"] for k in range(21)} == {"block"}
+
+
 # --- vectors
 
 

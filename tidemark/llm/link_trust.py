@@ -6,8 +6,10 @@ absolute links lead to, weighted by the links, and one from a subdomain to the n
 has pages. Hosts whose pages the rules allow are trusted seeds, those whose pages they block are blocked
 seeds, each by the number of such pages. Personalised PageRank from the trusted seeds along the edges
 gives trust. From the blocked seeds against the edges it gives distrust: whoever leads to the blocked
-is distrusted. A page that no rule fits is blocked if its host's distrust is above ``THRESHOLD``
-of both together, which is decided for each host, and allowed otherwise.
+is distrusted. Rounds go on until no host's rank changes by more than ``TOLERANCE`` of itself, so
+what comes over many hosts arrives too. A page that no rule fits is blocked if its host's distrust is above
+``THRESHOLD`` of both together, which is decided for each host, and allowed otherwise. Ranks sum up to
+one at most over all hosts, so only shares and leading digits count, at any size of the graph.
 
 The graph is of hosts, summed up before anything is shuffled by host; each round is one join and one sum.
 
@@ -28,13 +30,17 @@ from tidemark.llm.common import checkpointed, stored
 
 #: Rules at most: each becomes part of one expression.
 MAX_RULES = 1000
-#: The share that goes on along the edges, rounds, and rounds between two checkpoints.
-DAMPING, ROUNDS, CHECKPOINT = 0.85, 12, 4
+#: The share that goes on along the edges, and rounds between two checkpoints.
+DAMPING, CHECKPOINT = 0.85, 4
+#: The part of a rank that its last change may have, and rounds after which damping leaves less than that. A
+#: rank may first take as many rounds as there are hosts to arrive.
+TOLERANCE, ROUNDS = 1e-9, 128
 #: Hosts that one task of a round holds.
 ROWS = 100_000
 #: Distrust's part of trust and distrust together above which a host is blocked.
 THRESHOLD = 0.5
-#: Sums of doubles differ in their last places with the order of adding, so results are rounded.
+#: Sums of doubles differ in their last places with the order of adding, so results are rounded: to so many
+#: places from the first that isn't zero, as ranks may be small.
 DIGITS = 9
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -113,18 +119,29 @@ def propagate(hosts: DataFrame, edges: DataFrame, seed: str, name: str) -> DataF
     steps = checkpointed(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")).coalesce(tasks))
     base = checkpointed(hosts.select("host", (F.col(seed) / total).alias("base")).coalesce(tasks))
     now = base.withColumn("rank", F.col("base"))
-    for round_ in range(1, ROUNDS + 1):
+    for round_ in range(1, ROUNDS + rows + 1):
         moved = now.join(steps, now["host"] == steps["src"]).groupBy("dst").agg(
             F.sum(F.col("rank") * F.col("share")).alias("moved")
         )
+        before = now.select(F.col("host").alias("own"), F.col("rank").alias("last"))
         now = base.join(moved, base["host"] == moved["dst"], "left").select("host", "base", (
             (1 - DAMPING) * F.col("base") + DAMPING * F.coalesce("moved", F.lit(0.0))
-        ).alias("rank")).coalesce(tasks)
-        if round_ % CHECKPOINT == 0 and round_ < ROUNDS:
-            now = checkpointed(now)
+        ).alias("rank"))
+        if round_ % CHECKPOINT:
+            now = now.coalesce(tasks)
+            continue
+        now = checkpointed(now.join(before, now["host"] == before["own"]).select("host", "base", "rank", "last").coalesce(tasks))
+        moving = F.abs(F.col("rank") - F.col("last")) > TOLERANCE * F.greatest("rank", "last")
+        if now.filter(moving).isEmpty():
+            break
     return now.select("host", F.col("rank").alias(name))
 
 
+def leading(value: Column) -> Column:
+    """Rounded to ``DIGITS`` places from the first that isn't zero."""
+    return F.format_string(f"%.{DIGITS - 1}e", value).cast("double")
+
+
 def host_trust(found: DataFrame, html: str = "html") -> DataFrame:
     """``(host, trust, distrust, verdict)`` of every host of judged pages."""
     hosts = checkpointed(found.groupBy(F.col("judged.host").alias("host")).agg(
@@ -134,10 +151,9 @@ def host_trust(found: DataFrame, html: str = "html") -> DataFrame:
     edges = checkpointed(host_edges(found, hosts, html))
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     trust, distrust = propagate(hosts, edges, "allowed", "trust"), propagate(hosts, back, "blocked", "distrust")
-    both = trust.join(distrust, "host").withColumns({
-        "trust": F.round("trust", DIGITS), "distrust": F.round("distrust", DIGITS),
-    })
-    blocked = F.col("distrust") > THRESHOLD * (F.col("trust") + F.col("distrust"))
+    both = trust.join(distrust, "host").withColumns({"trust": leading(F.col("trust")), "distrust": leading(F.col("distrust"))})
+    sum_ = F.col("trust") + F.col("distrust")
+    blocked = F.when(sum_ > 0, F.round(F.col("distrust") / sum_, DIGITS) > THRESHOLD).otherwise(False)
     return both.withColumn("verdict", F.when(blocked, "block").otherwise("allow"))
 
 
