@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
-    bpe, language_id, link_trust, lm_scoring, minhash, mixing, near_vectors, oracles, personal_data, suffix_dedup, top_k,
+    alignment, bpe, language_id, link_trust, lm_scoring, minhash, mixing, near_vectors, oracles, personal_data, quality,
+    suffix_dedup, top_k, whitening,
 )
 from tidemark.llm.common import remainder, table
 
@@ -22,6 +23,8 @@ URL_RULES = (
 )
 SOURCE_WEIGHTS = (5, 2, 1)
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
+QUALITY_THRESHOLD = 0.7
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
@@ -120,3 +123,31 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("prediction.lang").alias("lang_pred"),
         F.col("prediction.score").alias("score"),
     )
+
+
+@query("op11_alignment")
+def documents_aligned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizers = alignment.load(spark, public_tokenizers.path(BYTE_LEVEL), public_tokenizers.path(PIECES), public_tokenizers.PATTERN)
+    rows, _ = alignment.align(table(spark, sf_dir, "documents"), tokenizers)
+    return rows.withColumnRenamed("id", "doc_id")
+
+
+@query("op12_whitening")
+def embeddings_whitened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = whitening.whiten(vectors, whitening.scaled(F.col("embedding"), 64, 1_000_000), components=16)
+    return found.select("vec_id", F.posexplode("white.whitened").alias("place", "whitened"), "white").select(
+        "vec_id", (F.col("place") + 1).alias("component"), "white.n", "white.deviation", "whitened",
+        F.get("white.explained", F.col("place")).alias("explained"), "white.identity_error",
+    )
+
+
+@query("op13_quality")
+def documents_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality").filter(~held_out)
+    found = quality.score(documents, quality.learn(documents, labels))
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= QUALITY_THRESHOLD).cast("int").alias("predicted")
+    )
