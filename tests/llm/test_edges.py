@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -230,6 +231,43 @@ def test_link_trust(spark):
     assert link_trust.verdicts(pages(spark, (None, None)).limit(0), RULES).collect() == []
 
 
+def ranks_by_loops(hosts, weight, good, bad):
+    """Trust and distrust by plain loops over hosts and weighted edges."""
+
+    def rank(edges, seed):
+        out = {h: sum(x for (a, _), x in edges.items() if a == h) for h in hosts}
+        into = {h: [(s, w / out[s]) for (s, d), w in edges.items() if d == h and s in out] for h in hosts}
+        now = {h: float(h == seed) for h in hosts}
+        for _ in range(link_trust.ROUNDS):
+            now = {h: 0.15 * (h == seed) + 0.85 * sum(now[s] * w for s, w in into[h]) for h in hosts}
+        return now
+
+    return rank(weight, good), rank({(b, a): w for (a, b), w in weight.items()}, bad)
+
+
+def test_link_trust_ring_and_chain(spark):
+    """Fifty hosts in a ring with both seeds, and a chain: rounds end, and plans stay small."""
+    ring = [f"r{k}.net" for k in range(48)] + ["good.org", "bad.org"]
+    chain = [f"c{k}.net" for k in range(30)]
+    rows = [(f"http://{h}/", f'<a href="http://{o}/z">') for h, o in zip(ring, ring[1:] + ring[:1])]
+    rows += [(f"http://{h}/", f'<a href="http://{o}/z"><a href="http://nowhere.net/">') for h, o in zip(chain, chain[1:] + ["bad.org"])]
+    began = time.monotonic()
+    found = by_id(link_trust.verdicts(pages(spark, *rows), RULES), "page_id")
+    assert time.monotonic() - began < 120
+    hosts = ring + chain
+    weight = {(h, o): 1 for h, o in zip(ring, ring[1:] + ring[:1])}
+    weight |= {(h, o): 1 for h, o in zip(chain, chain[1:] + ["bad.org"])} | {(h, "nowhere.net"): 1 for h in chain}
+    trust, distrust = ranks_by_loops(hosts, weight, "good.org", "bad.org")
+    for r in found.values():
+        h = r["judged"]["host"]
+        assert r["judged"]["trust"] == pytest.approx(trust[h], rel=1e-6, abs=1e-30)
+        assert r["judged"]["distrust"] == pytest.approx(distrust[h], rel=1e-6, abs=1e-30)
+    hosts = spark.createDataFrame([("a", 1.0), ("b", 0.0)], "host string, seed double")
+    edges = spark.createDataFrame([("a", "b", 1.0), ("b", "a", 1.0)], "src string, dst string, share double")
+    ranks = link_trust.propagate(hosts, [("seed", "rank", edges)])
+    assert ranks._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().bit_length() < 64
+
+
 def test_link_trust_ranks(spark):
     """Against the same sums in plain loops."""
     rnd = random.Random(3)

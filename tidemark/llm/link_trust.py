@@ -6,12 +6,13 @@ absolute links lead to, weighted by the links, and one from a subdomain to the n
 has pages. Hosts whose pages the rules allow are trusted seeds, those whose pages they block are blocked
 seeds, each by the number of such pages. Personalised PageRank from the trusted seeds along the edges
 gives trust. From the blocked seeds against the edges it gives distrust: whoever leads to the blocked
-is distrusted. Rounds go on until no host's rank changes by more than ``TOLERANCE`` of itself, so
-what comes over many hosts arrives too. A page that no rule fits is blocked if its host's distrust is above
+is distrusted. Links to hosts without pages take their share of a host's trust with them.
+Rounds go on until no host's rank changes by more than ``TOLERANCE`` of itself, or for ``ROUNDS``: what comes over
+more hosts than that is nothing. A page that no rule fits is blocked if its host's distrust is above
 ``THRESHOLD`` of both together, which is decided for each host, and allowed otherwise. Ranks sum up to
 one at most over all hosts, so only shares and leading digits count, at any size of the graph.
 
-The graph is of hosts, summed up before anything is shuffled by host; each round is one join and one sum.
+The graph is of hosts, summed up before anything is shuffled by host; a round is one join and one sum for both ranks.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, which no rule fits; its
 verdict is the method's for the host without a name. A host that neither trust nor distrust reaches is
@@ -21,22 +22,23 @@ allowed. Repeated rows are returned each and count each. Null html has no links.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.binding import let
-from tidemark.llm.common import checkpointed, stored
+from tidemark.llm.common import stored
 
 #: Rules at most: each becomes part of one expression.
 MAX_RULES = 1000
-#: The share that goes on along the edges, and rounds between two checkpoints.
-DAMPING, CHECKPOINT = 0.85, 4
-#: The part of a rank that its last change may have, and rounds after which damping leaves less than that. A
-#: rank may first take as many rounds as there are hosts to arrive.
-TOLERANCE, ROUNDS = 1e-9, 128
-#: Hosts that one task of a round holds.
-ROWS = 100_000
+#: The share that goes on along the edges, and rounds between two tables.
+DAMPING, BLOCK = 0.85, 8
+#: The part of a rank that its last change may have, and rounds at most. Less than 1e-18 of all weight is
+#: still on its way after so many, which is what a host further from every seed would get.
+TOLERANCE, ROUNDS = 1e-9, 256
+#: Hosts and edges that one task of a round holds.
+ROWS = 200_000
 #: Distrust's part of trust and distrust together above which a host is blocked.
 THRESHOLD = 0.5
 #: Sums of doubles differ in their last places with the order of adding, so results are rounded: to so many
@@ -87,7 +89,7 @@ def judged(pages: DataFrame, rules: Rules, url: str = "url") -> DataFrame:
 
 
 def host_edges(found: DataFrame, hosts: DataFrame, html: str = "html") -> DataFrame:
-    """``(src, dst, weight)`` between different hosts that have pages."""
+    """``(src, dst, weight)`` between different hosts, of which the first has pages."""
     links = found.select(
         F.col("judged.host").alias("src"),
         F.explode(F.regexp_extract_all(F.col(html), F.lit(LINK), F.lit(1))).alias("to"),
@@ -102,39 +104,52 @@ def host_edges(found: DataFrame, hosts: DataFrame, html: str = "html") -> DataFr
     named = wider.join(hosts.select(F.col("host").alias("dst")), "dst")
     nearest = named.groupBy("host").agg(F.min_by("dst", "level").alias("dst"))
     both = counted.union(nearest.select(F.col("host").alias("src"), "dst", F.lit(1.0)))
-    inside = both.join(hosts.select(F.col("host").alias("dst")), "dst", "left_semi")
-    return inside.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
+    return both.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, seed: str, name: str) -> DataFrame:
-    """Personalised PageRank ``(host, name)`` along the edges from the seeds' weights.
+def shares(edges: DataFrame, hosts: DataFrame) -> DataFrame:
+    """``(src, dst, share)``: each edge's part of all weights at its source, of edges to hosts that have pages."""
+    out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
+    inside = edges.join(hosts.select(F.col("host").alias("dst")), "dst", "left_semi")
+    return inside.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share"))
+
 
-    What would leave a host without edges is lost, which lowers all alike.
+def propagate(hosts: DataFrame, ways: Sequence[tuple[str, str, DataFrame]]) -> DataFrame:
+    """Personalised PageRank ``(host, name…)`` for several ``(seed, name, edges)`` at once.
+
+    Edges are ``(src, dst, share)``; the ranks start from the weights in the column ``seed``. Shares of a host that sum up
+    to less than one lose the rest, and what would leave a host without edges is lost. Each round is one join and one
+    sum: every host has a step to itself, of no share, that carries its seed and former rank. Rounds are planned
+    in blocks, and each block ends in a table, so that a plan, and what it expects of sizes, starts from files again.
     """
-    total, rows = hosts.agg(F.sum(seed), F.count("*")).first()
-    if not total:
-        return hosts.select("host", F.lit(0.0).alias(name))
-    tasks = max(1, rows // ROWS)
-    out = edges.groupBy("src").agg(F.sum("weight").alias("out"))
-    steps = checkpointed(edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("out")).alias("share")).coalesce(tasks))
-    base = checkpointed(hosts.select("host", (F.col(seed) / total).alias("base")).coalesce(tasks))
-    now = base.withColumn("rank", F.col("base"))
-    for round_ in range(1, ROUNDS + rows + 1):
-        moved = now.join(steps, now["host"] == steps["src"]).groupBy("dst").agg(
-            F.sum(F.col("rank") * F.col("share")).alias("moved")
-        )
-        before = now.select(F.col("host").alias("own"), F.col("rank").alias("last"))
-        now = base.join(moved, base["host"] == moved["dst"], "left").select("host", "base", (
-            (1 - DAMPING) * F.col("base") + DAMPING * F.coalesce("moved", F.lit(0.0))
-        ).alias("rank"))
-        if round_ % CHECKPOINT:
-            now = now.coalesce(tasks)
-            continue
-        now = checkpointed(now.join(before, now["host"] == before["own"]).select("host", "base", "rank", "last").coalesce(tasks))
-        moving = F.abs(F.col("rank") - F.col("last")) > TOLERANCE * F.greatest("rank", "last")
-        if now.filter(moving).isEmpty():
+    totals = hosts.agg(*[F.sum(seed).alias(name) for seed, name, _ in ways]).first()
+    base = reduce(DataFrame.union, [
+        hosts.select(F.lit(name).alias("way"), "host", (F.col(seed) / (totals[name] or 1.0)).alias("base")) for seed, name, _ in ways
+    ])
+    steps = reduce(DataFrame.union, [
+        edges.select(F.lit(name).alias("way"), "src", "dst", "share", F.lit(False).alias("own")) for _, name, edges in ways
+    ] + [
+        hosts.select(F.lit(name).alias("way"), F.col("host").alias("src"), F.col("host").alias("dst"), F.lit(0.0).alias("share"), F.lit(True).alias("own"))
+        for _, name, _ in ways
+    ])
+    steps = stored(steps, "trust-steps")
+    tasks = max(1, steps.count() // ROWS)
+    steps = steps.coalesce(tasks)
+    now = stored(base.withColumn("rank", F.col("base")).coalesce(tasks), "trust-ranks").withColumn("last", F.lit(0.0))
+    for _ in range(0, ROUNDS, BLOCK):
+        for _ in range(BLOCK):
+            ranks = now.select(F.col("way"), F.col("host").alias("src"), "base", "rank")
+            moved = ranks.join(steps, ["way", "src"]).groupBy("way", F.col("dst").alias("host")).agg(
+                F.sum(F.col("rank") * F.col("share")).alias("moved"), F.max(F.when(F.col("own"), F.col("base"))).alias("base"),
+                F.max(F.when(F.col("own"), F.col("rank"))).alias("last"),
+            )
+            now = moved.select(
+                "way", "host", "base", ((1 - DAMPING) * F.col("base") + DAMPING * F.col("moved")).alias("rank"), "last"
+            ).coalesce(tasks)
+        now = stored(now, "trust-ranks").coalesce(tasks)
+        if now.filter(F.abs(F.col("rank") - F.col("last")) > TOLERANCE * F.greatest("rank", "last")).isEmpty():
             break
-    return now.select("host", F.col("rank").alias(name))
+    return now.groupBy("host").agg(*[F.max(F.when(F.col("way") == name, F.col("rank"))).alias(name) for _, name, _ in ways])
 
 
 def leading(value: Column) -> Column:
@@ -144,14 +159,17 @@ def leading(value: Column) -> Column:
 
 def host_trust(found: DataFrame, html: str = "html") -> DataFrame:
     """``(host, trust, distrust, verdict)`` of every host of judged pages."""
-    hosts = checkpointed(found.groupBy(F.col("judged.host").alias("host")).agg(
+    hosts = stored(found.groupBy(F.col("judged.host").alias("host")).agg(
         F.count_if(F.col("judged.verdict") == "allow").cast("double").alias("allowed"),
         F.count_if(F.col("judged.verdict") == "block").cast("double").alias("blocked"),
-    ))
-    edges = checkpointed(host_edges(found, hosts, html))
+    ), "hosts")
+    edges = stored(host_edges(found, hosts, html), "host-edges")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
-    trust, distrust = propagate(hosts, edges, "allowed", "trust"), propagate(hosts, back, "blocked", "distrust")
-    both = trust.join(distrust, "host").withColumns({"trust": leading(F.col("trust")), "distrust": leading(F.col("distrust"))})
+    ranks = propagate(hosts, [
+        ("allowed", "trust", shares(edges, hosts)), ("blocked", "distrust", shares(back, hosts).join(
+            hosts.select(F.col("host").alias("src")), "src", "left_semi")),
+    ])
+    both = ranks.withColumns({"trust": leading(F.col("trust")), "distrust": leading(F.col("distrust"))})
     sum_ = F.col("trust") + F.col("distrust")
     blocked = F.when(sum_ > 0, F.round(F.col("distrust") / sum_, DIGITS) > THRESHOLD).otherwise(False)
     return both.withColumn("verdict", F.when(blocked, "block").otherwise("allow"))
