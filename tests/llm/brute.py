@@ -6,6 +6,9 @@ import math
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
+
+import numpy as np
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -120,3 +123,65 @@ def shares(sizes, weights, most=3):
         left -= sum(target[k] for k in over)
         full.update(over)
     return target
+
+
+def tokens_of(tokenizer, processor, text):
+    """Ids and bytes of a blank and the text by both libraries; None without tokens."""
+    if not text:
+        return None
+    first = tokenizer.encode(" " + text, add_special_tokens=False).ids
+    second = processor.encode(text)
+    letters = [b for b in range(256) if chr(b).isprintable() and chr(b) != " "]
+    of = {chr(b): b for b in letters} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in letters)}
+    bytes_1 = [bytes(of[c] for c in tokenizer.id_to_token(i)) for i in first]
+    bytes_2 = [
+        bytes([int(processor.id_to_piece(i)[3:5], 16)]) if processor.is_byte(i) else processor.id_to_piece(i).replace("▁", " ").encode()
+        for i in second
+    ]
+    whole = (" " + text).encode()
+    return (first, bytes_1, second, bytes_2) if b"".join(bytes_1) == whole == b"".join(bytes_2) else None
+
+
+def aligned(tokenizer, processor, texts):
+    """For each text (n_a, n_b, n_groups, n_links, n_best, count_sum, sha256), by walking over every byte."""
+    found, times = [], {}
+    for text in texts:
+        tokens = tokens_of(tokenizer, processor, text)
+        if tokens is None:
+            found.append(None)
+            continue
+        first, bytes_1, second, bytes_2 = tokens
+        at_1 = [k for k, t in enumerate(bytes_1) for _ in t]
+        at_2 = [k for k, t in enumerate(bytes_2) for _ in t]
+        links = [(first[i], second[j]) for i, j in sorted(set(zip(at_1, at_2, strict=True)))]
+        for link in links:
+            times[link] = times.get(link, 0) + 1
+        groups, one, two = [], [], []
+        for p, (i, j) in enumerate(zip(at_1, at_2, strict=True)):
+            one += [first[i]] if p == 0 or at_1[p - 1] != i else []
+            two += [second[j]] if p == 0 or at_2[p - 1] != j else []
+            last = p + 1 == len(at_1)
+            if last or (at_1[p + 1] != i and at_2[p + 1] != j):
+                groups.append(",".join(map(str, one)) + "|" + ",".join(map(str, two)))
+                one, two = [], []
+        found.append((len(first), len(second), groups, links))
+    best = {}
+    for (_, b), n in times.items():
+        best[b] = max(best.get(b, 0), n)
+    return [(0,) * 6 + ("",) if f is None else (
+        f[0], f[1], len(f[2]), len(f[3]), sum(times[x] == best[x[1]] for x in f[3]), sum(times[x] for x in f[3]),
+        hashlib.sha256(";".join(f[2]).encode()).hexdigest(),
+    ) for f in found]
+
+
+def whitened(vectors, components):
+    """Exact deviations, whitened vectors and explained parts of rows of whole numbers, each distinct one fitted once."""
+    x = [list(map(int, v)) for v in vectors]
+    distinct = sorted(set(map(tuple, x)))
+    n, sums = len(distinct), [sum(c) for c in zip(*distinct, strict=True)]
+    deviation = [sum((n * c - s) ** 2 for c, s in zip(v, sums, strict=True)) for v in x]
+    centred = np.array([[float(Fraction(n * c - s, n)) for c, s in zip(v, sums, strict=True)] for v in distinct])
+    values, vectors_ = np.linalg.eigh(centred.T @ centred / n)
+    order = np.argsort(values)[::-1][:components]
+    rows = np.array([[float(Fraction(n * c - s, n)) for c, s in zip(v, sums, strict=True)] for v in x])
+    return n, deviation, rows @ vectors_[:, order] / np.sqrt(values[order]), values[order] / values.sum()

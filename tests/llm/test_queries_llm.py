@@ -7,7 +7,9 @@ import math
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 import tiktoken
+import tokenizers
 from conftest_llm import SF_DIR, brute, near
 
 from tidemark.llm.queries import QUERIES, SOURCE_WEIGHTS, URL_RULES
@@ -145,3 +147,40 @@ def test_op10(spark, texts):
     assert all(r["held_out"] == brute.left_out(i, 3, 1) and 0 <= r["score"] <= 1 for i, r in found.items())
     held = [i for i in lang if found[i]["held_out"]]
     assert np.mean([found[i]["lang_pred"] == lang[i] for i in held]) > 0.95
+
+
+def test_op11(spark, texts):
+    tokenizer = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    processor = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    found, all_ = result(spark, "op11_alignment")
+    assert len(all_) == len(texts)
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    for i, expected in zip(texts, brute.aligned(tokenizer, processor, texts.values()), strict=True):
+        assert tuple(found[i][n] for n in names) == expected
+
+
+def test_op12(spark):
+    rows = sorted(rows_of(spark, "embeddings"), key=lambda r: r["vec_id"])
+    x = [[math.floor(64 * c) + 1_000_000 for c in r["embedding"]] for r in rows]
+    n, deviation, white, explained = brute.whitened(x, 16)
+    all_ = QUERIES["op12_whitening"](spark, SF_DIR).collect()
+    assert len(all_) == 16 * len(rows)
+    found = {(r["vec_id"], r["component"]): r for r in all_}
+    signs = np.sign([found[rows[0]["vec_id"], k + 1]["whitened"] * white[0, k] for k in range(16)])
+    for i, r in enumerate(rows):
+        for k in range(16):
+            f = found[r["vec_id"], k + 1]
+            assert (f["n"], f["deviation"]) == (n, deviation[i])
+            assert f["whitened"] == pytest.approx(signs[k] * white[i, k], abs=1e-8)
+            assert f["explained"] == pytest.approx(explained[k], rel=1e-9) and f["identity_error"] < 1e-9
+
+
+def test_op13(spark, texts):
+    found, all_ = result(spark, "op13_quality")
+    labels = {r["doc_id"]: r["quality"] for r in rows_of(spark, "labels")}
+    assert len(all_) == len(texts)
+    for i, r in found.items():
+        assert r["held_out"] == brute.left_out(i, 4, 2) and 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.7)
+    held = [i for i in labels if found[i]["held_out"]]
+    assert np.mean([found[i]["predicted"] == labels[i] for i in held]) > 0.9

@@ -113,7 +113,7 @@ def borders(column: np.ndarray) -> np.ndarray:
     """Where a statistic is cut: between neighbouring values, at quantiles where there are many."""
     values = np.unique(column)
     if len(values) > BINS:
-        values = np.unique(np.quantile(column, np.linspace(0, 1, BINS + 1), method="lower"))
+        values = np.unique(np.quantile(column, np.linspace(0, 1, BINS), method="lower"))
     return values[:-1]
 
 
@@ -180,7 +180,7 @@ def chosen_labels(documents: DataFrame, labels: DataFrame, doc_id: str, label: s
     order = F.xxhash64("id")
     if taught > rows:
         # Few more than needed have least hashes, so that few are sorted.
-        own = own.filter(F.shiftrightunsigned(order, 1) < int((1 << 63) * min(1.0, 1.2 * rows / taught + 1000 / taught)))
+        own = own.filter(F.shiftrightunsigned(order, 1) < min((1 << 63) - 1, int((1 << 63) * (1.2 * rows + 1000) / taught)))
     return own.orderBy(order, "id").limit(rows)
 
 
