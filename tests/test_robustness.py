@@ -15,6 +15,7 @@ from tidemark.operators.flatten import Field, flatten
 from tidemark.plans.tournaments import tournaments
 from tidemark.sources import documents as D
 from tidemark.sources import landing as L
+from tidemark.sources.state import every
 from tidemark.streaming import ingest as I
 
 REPO = Path(__file__).resolve().parent.parent
@@ -79,7 +80,8 @@ def test_streams_set_malformed_files_aside(spark, tmp_path):
     assert I.latest_state(spark, state, ["k"]).count() == 1 and spark.read.parquet(bad).count() == 1
     seen = []
     I.after_each_batch(
-        I.new_documents(spark, str(files)), str(tmp_path / "raw"), str(tmp_path / "c2"), lambda t, n: seen.append(t.count()), bad
+        I.new_documents(spark, str(files)), rows, every(spark, str(tmp_path / "rows"), ["k"]), str(tmp_path / "raw"),
+        str(tmp_path / "c2"), lambda t, n: seen.append(t.count()), bad,
     ).awaitTermination()
     assert seen == [1]
 

@@ -85,6 +85,11 @@ def calendar_changes(raw: DataFrame, strict: bool = True, guarded: bool = False)
     return changes(*latest_two(raw, strict, guarded))
 
 
+def changes_of(rows: DataFrame) -> DataFrame:
+    """Changes between the latest two versions of calendar rows, such as a state of them holds."""
+    return changes(*V.current_and_previous(rows))
+
+
 def targets(changed: DataFrame, root_url: str) -> DataFrame:
     """What to fetch next, with absolute addresses."""
     return changed.select(

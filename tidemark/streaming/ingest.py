@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark import fixed_values as fixed
-from tidemark.operators import versions as V
 from tidemark.sources import documents as S
+from tidemark.sources.state import State, latest
 
 
 def new_documents(
@@ -47,13 +47,16 @@ def _each_batch(
     )
 
 
-def _replace_batch(df: DataFrame, path: str, checkpoint: str, batch: int) -> None:
-    """Write a batch into its own folder, so that a retry replaces it instead of adding to it.
+def _stream_name(checkpoint: str) -> str:
+    """What tells streams apart: batch numbers start again with a new checkpoint."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
 
-    Batch numbers start again with a new checkpoint, so the folder is the checkpoint's too.
-    """
-    stream = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
-    df.write.mode("overwrite").parquet(f"{path}/batch={stream}-{batch}")
+
+def _replace_batch(df: DataFrame, path: str, checkpoint: str, batch: int) -> str:
+    """Write a batch into its own folder, so that a retry replaces it instead of adding to it."""
+    folder = f"{path}/batch={_stream_name(checkpoint)}-{batch}"
+    df.write.mode("overwrite").parquet(folder)
+    return folder
 
 
 def _split_batch(batch: DataFrame, quarantine_path: str | None, checkpoint: str, number: int) -> DataFrame:
@@ -79,39 +82,47 @@ def load_new(
     return _each_batch(stream, checkpoint, write)
 
 
-def keep_latest(
-    stream: DataFrame, flatten: Callable[[DataFrame], DataFrame], keys: Sequence[str],
-    state_path: str, checkpoint: str, tiebreak: Sequence[str] = (), quarantine_path: str | None = None,
+def keep_state(
+    stream: DataFrame, flatten: Callable[[DataFrame], DataFrame], state: State, checkpoint: str,
+    quarantine_path: str | None = None,
 ) -> StreamingQuery:
-    """Maintain the newest row per key. Versions decide, not the order of arrival.
-
-    Each batch stores its own newest rows, so a late file costs no rewrite of what is there;
-    :func:`latest_state` picks the winners.
-    """
+    """Add each batch's rows to a state, once each. A batch costs its own size and its part of merging runs."""
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = flatten(_split_batch(batch, quarantine_path, checkpoint, number))
-        _replace_batch(V.latest_per_key(rows, keys, tiebreak=tiebreak), state_path, checkpoint, number)
+        state.add(flatten(_split_batch(batch, quarantine_path, checkpoint, number)), _stream_name(checkpoint), number)
 
     return _each_batch(stream, checkpoint, write)
 
 
+def keep_latest(
+    stream: DataFrame, flatten: Callable[[DataFrame], DataFrame], keys: Sequence[str],
+    state_path: str, checkpoint: str, tiebreak: Sequence[str] = (), quarantine_path: str | None = None, **options: int,
+) -> StreamingQuery:
+    """Maintain the newest row per key. Versions decide, not the order of arrival."""
+    state = latest(stream.sparkSession, state_path, keys, tiebreak, **options)
+    return keep_state(stream, flatten, state, checkpoint, quarantine_path)
+
+
 def latest_state(
     spark: SparkSession, state_path: str, keys: Sequence[str], tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    rows = spark.read.parquet(state_path).drop("batch")
-    return V.latest_per_key(rows, keys, tiebreak=tiebreak)
+    return latest(spark, state_path, keys, tiebreak).rows()
 
 
 def after_each_batch(
-    stream: DataFrame, table_path: str, checkpoint: str,
+    stream: DataFrame, flatten: Callable[[DataFrame], DataFrame], state: State, table_path: str, checkpoint: str,
     refresh: Callable[[DataFrame, int], None], quarantine_path: str | None = None,
 ) -> StreamingQuery:
-    """Load each batch, then hand the whole raw table to ``refresh``, such as a snapshot diff."""
+    """Load each batch, add its rows to a state, then hand the state to ``refresh``, such as a snapshot diff.
+
+    The raw table only grows by the batch; what is read again is the batch and the state.
+    """
+    spark = stream.sparkSession
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = _split_batch(batch, quarantine_path, checkpoint, number)
-        _replace_batch(rows.select(*fixed.RAW_COLUMNS), table_path, checkpoint, number)
-        refresh(batch.sparkSession.read.parquet(table_path).select(*fixed.RAW_COLUMNS), number)
+        rows = _split_batch(batch, quarantine_path, checkpoint, number).select(*fixed.RAW_COLUMNS)
+        folder = _replace_batch(rows, table_path, checkpoint, number)
+        state.add(flatten(spark.read.schema(rows.schema).parquet(folder)), _stream_name(checkpoint), number)
+        refresh(state.rows(), number)
 
     return _each_batch(stream, checkpoint, write)
