@@ -6,6 +6,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.functions import text as T
@@ -15,7 +16,8 @@ from tidemark.operators.flatten import Field, flatten
 from tidemark.plans.tournaments import tournaments
 from tidemark.sources import documents as D
 from tidemark.sources import landing as L
-from tidemark.sources.state import every
+from tidemark.sources import loads as Ld
+from tidemark.sources.state import State, every
 from tidemark.streaming import ingest as I
 
 REPO = Path(__file__).resolve().parent.parent
@@ -52,14 +54,64 @@ def document(k, day=1):
 
 def test_loads_repeat_nothing(spark, tmp_path):
     files, raw, ledger = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "ledger")
-    load = lambda: D.load_new(spark, str(files), raw, ledger, "e").count()
+    load = lambda: Ld.load_new(spark, str(files), raw, ledger, "e").count()
     put(files, "a b.json", document(1))
     assert load() == 1 and load() == 0
     put(files, "c+d.json", document(2))
     assert load() == 1
-    assert spark.read.parquet(raw).count() == 2 and spark.read.parquet(ledger).count() == 2
+    assert Ld.loaded(spark, raw).count() == 2 and Ld.ledger(spark, ledger).rows().count() == 2
     # Rows that came in before a run ended without its ledger rows are not loaded again.
-    assert D.load_new(spark, str(files), raw, str(tmp_path / "lost"), "e").count() == 0
+    assert Ld.load_new(spark, str(files), raw, str(tmp_path / "lost"), "e").count() == 0
+
+
+def places(tmp_path):
+    return {n: sorted(str(p.relative_to(tmp_path / n)) for p in (tmp_path / n).rglob("*.json")) for n in ("in", "done")}
+
+
+def test_moves_follow_the_ledger(spark, tmp_path, monkeypatch):
+    """Files move once their batch is in the ledger, also if the load ended before it moved them."""
+    files, raw, ledger, done = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "ledger"), str(tmp_path / "done")
+    load = lambda: Ld.load_new(spark, str(files), raw, ledger, "e", archive=done)
+    (files / "year=2024").mkdir(parents=True)
+    put(files / "year=2024", "a b+c.json", document(1))
+    put(files / "year=2024", "d.json", document(2))
+    with monkeypatch.context() as patched:
+        patched.setattr(Ld, "_make_moves", lambda *a: None)
+        assert load().count() == 2
+    assert places(tmp_path) == {"in": ["year=2024/a b+c.json", "year=2024/d.json"], "done": []}
+    assert load().count() == 0
+    assert places(tmp_path) == {"in": [], "done": ["year=2024/a b+c.json", "year=2024/d.json"]}
+    put(files / "year=2024", "bad.json", "{")
+    with pytest.raises(StreamingQueryException):
+        load()
+    assert places(tmp_path)["in"] == ["year=2024/bad.json"] and Ld.loaded(spark, raw).count() == 2
+    put(files / "year=2024", "bad.json", document(3))
+    assert load().count() == 1 and places(tmp_path)["in"] == []
+    assert sorted(r["rows_loaded"] for r in Ld.ledger(spark, ledger).rows().collect()) == [1, 1, 1]
+
+
+@pytest.mark.parametrize("after", ["rows", "ledger"])
+def test_repair_stopped_half_way(spark, tmp_path, monkeypatch, after):
+    files, raw, ledger, bad = tmp_path / "in", str(tmp_path / "raw"), str(tmp_path / "ledger"), str(tmp_path / "bad")
+    for k, text in enumerate((document(1), document(2)[:-1], " \n", "never")):
+        put(files, f"{k}.json", text)
+    with pytest.raises(ValueError, match="refused"):
+        Ld.load_new(spark, str(files), raw, ledger, "e", strict=False)
+    Ld.load_new(spark, str(files), raw, ledger, "e", strict=False, refused=bad)
+    assert Ld.loaded(spark, raw).count() == 1
+    assert sorted(r["reason"] for r in Ld.still_refused(spark, bad).collect()) == ["empty", "not one JSON value", "not one JSON value"]
+    fix = lambda: Ld.repair(spark, raw, ledger, bad, "e", lambda d: F.concat(d, F.lit("}")))
+    with monkeypatch.context() as patched:
+        add = State.add
+        stop = lambda state, rows, writer, n: 1 / 0 if writer == "repair" or after == "rows" else add(state, rows, writer, n)
+        patched.setattr(State, "add", stop)
+        with pytest.raises(ZeroDivisionError):
+            fix()
+    for _ in range(2):
+        fix()
+    left = Ld.still_refused(spark, bad).collect()
+    assert Ld.loaded(spark, raw).count() == 2 and Ld.ledger(spark, ledger).rows().count() == 2
+    assert sorted((r["data"], r["attempt"]) for r in left) == [(" \n", 3), ("never", 3)]
 
 
 def test_streams_with_other_checkpoints_keep_rows(spark, tmp_path):

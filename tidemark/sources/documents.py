@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +10,7 @@ from pyspark.sql import functions as F
 from tidemark import fixed_values as fixed
 from tidemark.functions import json_values as J
 from tidemark.functions.binding import let
-from tidemark.sources import ledger as G
-from tidemark.sources.landing import stored
+from tidemark.sources.files import Files
 
 
 def scan_documents(
@@ -117,37 +115,11 @@ def load_raw(
     return raw_source(spark, target).count()
 
 
-def load_new(
-    spark: SparkSession, path: str, target: str, ledger: str, endpoint: str, strict: bool = True,
-) -> DataFrame:
-    """Files below ``path`` that were not loaded before into ``target``; gives their ledger rows.
-
-    Names are listed and compared before any file is read. The ledger is written after the rows; should
-    a run end in between, the names in ``target`` itself keep the next one from loading them again.
-    """
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-    names = listed.select(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))).alias("meta_file_name"), "path")
-    if exists(spark, ledger):
-        names = G.new_files(names, raw_source(spark, ledger))
-    if exists(spark, target):
-        loaded = raw_source(spark, target).select(F.col("meta_file_name").alias("file_uri"))
-        names = G.new_files(names, loaded)
-    found = [row["path"] for row in names.select("path").toLocalIterator()]  # of one load, not of the history
-    if not found:
-        return spark.createDataFrame([], G.LEDGER_SCHEMA)
-    raw = raw_rows(scan_documents(spark, found), strict)
-    rows = stored(G.ledger_rows(raw, endpoint, target, F.lit(datetime.now(UTC).replace(tzinfo=None))), "ledger-rows")
-    append_raw(raw, target)
-    rows.select(*G.LEDGER_COLUMNS).write.mode("append").parquet(ledger)
-    return rows
-
-
 def exists(spark: SparkSession, target: str) -> bool:
     """Whether a table or folder is there."""
     if "/" not in target:
         return spark.catalog.tableExists(target)
-    place = spark._jvm.org.apache.hadoop.fs.Path(target)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return Files(spark, target).exists(target)
 
 
 def inferred_schema(raw: DataFrame, sample: Column | None = None) -> DataFrame:

@@ -15,6 +15,10 @@ class Files:
     def _path(self, path: str):
         return self._jvm.org.apache.hadoop.fs.Path(path)
 
+    def whole(self, path: str) -> str:
+        """The path with its scheme and authority."""
+        return self._system.makeQualified(self._path(path)).toString()
+
     def exists(self, path: str) -> bool:
         return self._system.exists(self._path(path))
 
@@ -39,8 +43,8 @@ class Files:
             raise FileExistsError(path)
 
     def move(self, source: str, target: str) -> bool:
-        """Rename a file, making the folders above its new name. False if the new name is taken."""
-        if self.exists(target):
+        """Rename a file, making the folders above its new name. False if that is taken or the file isn't there."""
+        if self.exists(target) or not self.exists(source):
             return False
         self._system.mkdirs(self._path(target).getParent())
         return self._system.rename(self._path(source), self._path(target))

@@ -36,7 +36,7 @@ def new_documents(
     )
 
 
-def _each_batch(
+def each_batch(
     stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None],
 ) -> StreamingQuery:
     """Process what is there now, then stop. Batch numbers repeat on a retry."""
@@ -79,7 +79,7 @@ def load_new(
         rows = _split_batch(batch, quarantine_path, checkpoint, number)
         _replace_batch(rows.select(*fixed.RAW_COLUMNS), table_path, checkpoint, number)
 
-    return _each_batch(stream, checkpoint, write)
+    return each_batch(stream, checkpoint, write)
 
 
 def keep_state(
@@ -91,7 +91,7 @@ def keep_state(
     def write(batch: DataFrame, number: int) -> None:
         state.add(flatten(_split_batch(batch, quarantine_path, checkpoint, number)), _stream_name(checkpoint), number)
 
-    return _each_batch(stream, checkpoint, write)
+    return each_batch(stream, checkpoint, write)
 
 
 def keep_latest(
@@ -109,7 +109,7 @@ def latest_state(
     return latest(spark, state_path, keys, tiebreak).rows()
 
 
-def after_each_batch(
+def aftereach_batch(
     stream: DataFrame, flatten: Callable[[DataFrame], DataFrame], state: State, table_path: str, checkpoint: str,
     refresh: Callable[[DataFrame, int], None], quarantine_path: str | None = None,
 ) -> StreamingQuery:
@@ -125,4 +125,4 @@ def after_each_batch(
         state.add(flatten(spark.read.schema(rows.schema).parquet(folder)), _stream_name(checkpoint), number)
         refresh(state.rows(), number)
 
-    return _each_batch(stream, checkpoint, write)
+    return each_batch(stream, checkpoint, write)

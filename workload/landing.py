@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,9 @@ from tidemark.session import shared_dir
 from tidemark.sources import documents as D
 from tidemark.sources import landing as L
 from tidemark.sources import ledger as G
+from tidemark.sources import loads as Ld
 from tidemark.sources import sql_text as Q
+from tidemark.sources.files import Files
 from workload.registry import DATA_ROOT, ROOT, day_of, events_by_day, query, table
 
 EVENT_FIELDS = (
@@ -90,12 +93,61 @@ def idempotent_load(spark, sf_dir):
     """Three loads of a folder: of half the files, of all, and of nothing new. Each file is loaded once."""
     files, raw, ledger = (shared_dir(spark, n) for n in ("landing", "raw", "ledger"))
     docs = event_documents(spark, sf_dir).withColumn("late", F.dayofmonth("day") > 15)
+    for drop in (F.col("late"), ~F.col("late"), F.lit(False)):
+        L.write_documents(docs.filter(drop), files)
+        Ld.load_new(spark, files, raw, ledger, "events")
+    return records_by_version(Ld.loaded(spark, raw))
+
+
+@query("load_moves", """
+    SELECT DISTINCT date_trunc('day', ts)::TIMESTAMP AS version,
+           CASE WHEN day(ts) > 15 THEN 'archive' ELSE 'incoming' END AS place, day(ts) > 15 AS loaded
+    FROM events
+""")
+def load_moves(spark, sf_dir):
+    """Where files are after a load, and a second one that a malformed file stops: that one's files stay."""
+    files, raw, ledger, archive = (shared_dir(spark, n) for n in ("incoming", "raw", "ledger", "archive"))
+    docs = event_documents(spark, sf_dir).withColumn("late", F.dayofmonth("day") > 15)
     L.write_documents(docs.filter("late"), files)
-    D.load_new(spark, files, raw, ledger, "events")
+    Ld.load_new(spark, files, raw, ledger, "events", archive=archive)
     L.write_documents(docs.filter("NOT late"), files)
-    D.load_new(spark, files, raw, ledger, "events")
-    D.load_new(spark, files, raw, ledger, "events")
-    return records_by_version(D.raw_source(spark, raw))
+    Files(spark, files).write(f"{files}/broken.json", '{"data": [')
+    try:
+        Ld.load_new(spark, files, raw, ledger, "events", archive=archive)
+    except StreamingQueryException:
+        pass
+    else:
+        raise AssertionError("the malformed file was loaded")
+    names = Ld.loaded(spark, raw).select("meta_file_modified").distinct().withColumnRenamed("meta_file_modified", "version")
+    found = None
+    for place, folder in (("archive", archive), ("incoming", files)):
+        own = D.raw_rows(D.scan_documents(spark, folder), strict=False)
+        own = own.select(F.col("meta_file_modified").alias("version"), F.lit(place).alias("place")).distinct()
+        found = own if found is None else found.union(own)
+    return found.join(names.withColumn("known", F.lit(True)), "version", "left").select(
+        "version", "place", F.coalesce("known", F.lit(False)).alias("loaded")
+    )
+
+
+@query("refused_then_repaired", """
+    SELECT date_trunc('day', ts)::TIMESTAMP AS version, count(*) AS n_records,
+           (CASE WHEN day(ts) % 5 = 0 THEN 3 WHEN day(ts) % 7 = 0 THEN 2 ELSE 0 END)::INT AS attempt
+    FROM events GROUP BY ALL
+""")
+def refused_then_repaired(spark, sf_dir):
+    """Files that lack their end are refused and tried again, one bracket at a time; nothing is lost."""
+    files, raw, ledger, refused = (shared_dir(spark, n) for n in ("incoming", "raw", "ledger", "refused"))
+    day = F.dayofmonth("meta_file_modified")
+    missing = F.when(day % 5 == 0, 2).when(day % 7 == 0, 1).otherwise(0)
+    text = F.left("data", F.char_length("data") - missing)
+    event_raw(spark, sf_dir).select(text.alias("value")).write.option("maxRecordsPerFile", 1).text(files)
+    Ld.load_new(spark, files, raw, ledger, "events", strict=False, refused=refused, glob="*.txt")
+    for end in ("}", "]}"):
+        Ld.repair(spark, raw, ledger, refused, "events", lambda data, end=end: F.concat(data, F.lit(end)))
+    attempts = Ld.refusals(spark, refused).rows().select("meta_file_name", "attempt")
+    return Ld.loaded(spark, raw).join(attempts, "meta_file_name", "left").groupBy(
+        F.col("meta_file_modified").alias("version"), F.coalesce("attempt", F.lit(0)).alias("attempt")
+    ).agg(F.sum(D.record_count()).cast("bigint").alias("n_records"))
 
 
 @query("flatten_one_level", """
