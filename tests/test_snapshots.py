@@ -198,3 +198,15 @@ def test_checks(spark, rows):
     got = dict(rows(Q.suite("t", df, ["k", "v"], ["k", "v"])))
     assert got == {"t.k not null": 2, "t.v not null": 1, "t.k|v unique": 1}
     assert Counter(v for _, v in rows(Q.suite("t", df.limit(0), ["k"], ["k"]))) == {0: 2}
+
+
+def test_rank_uses_all_ranges_within_a_day(spark):
+    """All versions on one day are dealt into ranges of about equal size."""
+    day = spark.range(10_000).select(
+        F.timestamp_add("SECOND", F.col("id") * 8, F.lit("2024-05-01").cast("timestamp_ntz")).alias("version")
+    )
+    for ranges in (1, 8):
+        ranked = V.version_rank(day.union(day), version="version", ranges=ranges)
+        found = ranked.select(F.unix_seconds(F.col("version").cast("timestamp")).alias("s"), "version_rank").orderBy("s").collect()
+        assert [r["version_rank"] for r in found] == list(range(10_000, 0, -1))
+    assert "hashpartitioning(_range" in ranked._jdf.queryExecution().toString()

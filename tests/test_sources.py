@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.flatten import Field, flatten
 from tidemark.session import shared_dir
 from tidemark.sources import documents as D
+from tidemark.sources import keyed as K
 from tidemark.sources import landing as L
 from tidemark.sources import ledger as G
 from tidemark.sources import sql_text as Q
@@ -189,3 +190,29 @@ def test_stream_state_ignores_the_order_of_arrival(spark, tmp_path, rows):
         I.keep_latest(stream, lambda r: flatten(r, FIELDS), ["k"], state, checkpoint).awaitTermination()
     got = rows(I.latest_state(spark, state, ["k"]), "k", "v")
     assert got == [("only1", "1"), ("only2", "1"), ("only3", "1"), ("x", "3")]
+
+
+def test_documents_at_keys(spark, tmp_path, rows, monkeypatch):
+    """What a stopped write left is replaced; a batch that the manifest knows is not written again."""
+    at = F.to_timestamp_ntz(F.lit("2024-05-01 10:00:00"))
+    records = spark.createDataFrame([(k % 3, k, f"v{k}") for k in range(9)], "g int, id int, v string")
+    root, manifest = str(tmp_path / "root"), str(tmp_path / "manifest")
+
+    def write(tag, batch, key=None):
+        docs = L.documents(records.withColumn("v", F.lit(tag)), ["g"], ["id"], ["id", "v"], at)
+        key = F.concat(F.lit("raw/a b+c%/g="), "g", F.lit(".json")) if key is None else key
+        return K.write_documents(docs, key, root, manifest, "e", "w", batch, g=F.col("g"))
+
+    with monkeypatch.context() as patched:
+        patched.setattr(K.St.State, "add", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            write("old", 0)
+    assert write("new", 0) and not write("newer", 0)
+    files = sorted(Path(root).rglob("*.json"))
+    assert [str(f.relative_to(root)) for f in files] == [f"raw/a b+c%/g={g}.json" for g in range(3)]
+    assert all(json.loads(f.read_text())["data"][0]["v"] == "new" for f in files)
+    found = rows(K.listed(spark, manifest).rows(), "key", "g", "count", "endpoint")
+    assert found == [(f"raw/a b+c%/g={g}.json", str(g), "3", "e") for g in range(3)]
+    with pytest.raises(ValueError, match="several"):
+        write("x", 1, F.lit("same.json"))
+    assert not list(Path(root).rglob("same.json")) and K.listed(spark, manifest).rows().count() == 3

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 VERSION = "meta_file_modified"
 
@@ -55,27 +56,43 @@ def top_versions(df: DataFrame, k: int, version: str = VERSION) -> DataFrame:
     )
 
 
-def version_rank(df: DataFrame, by: Sequence[str] = (), version: str = VERSION) -> DataFrame:
+def version_rank(df: DataFrame, by: Sequence[str] = (), version: str = VERSION, ranges: int | None = None) -> DataFrame:
     """``(by…, version, version_rank)``: dense rank of each distinct version, newest first.
 
-    Versions are ranked within their day, then moved up by the number of versions on later days.
-    Only lists of days, at most one row per calendar day, are ordered as a whole.
+    Versions are dealt into ranges of about equal size, whatever days they fall on, and ranked within their range; then
+    they are moved up by the number of versions in later ranges. Only counts of ranges are ordered as a whole.
+    The borders are estimates, which the ranks don't depend on. NULL comes last. ``ranges`` is the number of
+    shuffle partitions by default.
     """
-    dated = df.select(*by, version).distinct().withColumn("_day", F.to_date(version))
-    days = dated.groupBy(*by, "_day").agg(F.count("*").alias("_n"))
-    later = Window.partitionBy(*by).orderBy(F.col("_day").desc_nulls_last()).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = days.select(
-        *[F.col(c).alias(f"_same_{c}") for c in (*by, "_day")],
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = df.select(*by, version).distinct()
+    number = _as_number(F.col(version), df.schema[version].dataType)
+    borders = df.agg(F.percentile_approx(number, [k / ranges for k in range(1, ranges)] or [0.5])).scalar()
+    # How many borders lie above: 0 is the newest range.
+    above = F.size(F.filter("_borders", lambda b: b > number))
+    dealt = F.when(F.col(version).isNull() | F.col("_borders").isNull(), ranges).otherwise(above)
+    dated = distinct.withColumn("_borders", borders).withColumn("_range", dealt).drop("_borders")
+    counts = dated.groupBy(*by, "_range").agg(F.count("*").alias("_n"))
+    later = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        *[F.col(c).alias(f"_same_{c}") for c in (*by, "_range")],
         F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_later"),
     )
-    in_day = F.dense_rank().over(
-        Window.partitionBy(*by, "_day").orderBy(F.col(version).desc_nulls_last())
+    in_range = F.dense_rank().over(
+        Window.partitionBy(*by, "_range").orderBy(F.col(version).desc_nulls_last())
     )
-    same = [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in (*by, "_day")]
-    rank = (F.col("_later") + F.col("_in_day")).cast("int").alias("version_rank")
-    return dated.withColumn("_in_day", in_day).join(offsets, same).select(*by, version, rank)
+    same = [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in (*by, "_range")]
+    rank = (F.col("_later") + F.col("_in_range")).cast("int").alias("version_rank")
+    return dated.withColumn("_in_range", in_range).join(offsets, same).select(*by, version, rank)
+
+
+def _as_number(version: Column, kind: T.DataType) -> Column:
+    """A number in the order of the versions."""
+    if isinstance(kind, T.NumericType):
+        return version
+    if isinstance(kind, T.DateType):
+        return F.unix_date(version)
+    return F.unix_micros(version.cast("timestamp"))
 
 
 def _latest_versions(df: DataFrame, by: Sequence[str], k: int, version: str) -> DataFrame:

@@ -42,10 +42,14 @@ class Files:
         if not self.move(beside, path):
             raise FileExistsError(path)
 
-    def move(self, source: str, target: str) -> bool:
-        """Rename a file, making the folders above its new name. False if that is taken or the file isn't there."""
-        if self.exists(target) or not self.exists(source):
+    def move(self, source: str, target: str, replace: bool = False) -> bool:
+        """Rename a file, making the folders above its new name. False if the file isn't there, or the name is taken."""
+        if not self.exists(source):
             return False
+        if self.exists(target):
+            if not replace:
+                return False
+            self.delete(target)
         self._system.mkdirs(self._path(target).getParent())
         return self._system.rename(self._path(source), self._path(target))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import PySparkException, StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +15,7 @@ from tidemark.plans import analytics as A
 from tidemark.plans.tournaments import tournaments
 from tidemark.session import shared_dir
 from tidemark.sources import documents as D
+from tidemark.sources import keyed as K
 from tidemark.sources import landing as L
 from tidemark.sources import ledger as G
 from tidemark.sources import loads as Ld
@@ -129,6 +130,37 @@ def load_moves(spark, sf_dir):
     )
 
 
+@query("documents_at_keys", """
+    SELECT 'raw/events/year=' || strftime(ts, '%Y') || '/month=' || strftime(ts, '%m') || '/'
+               || strftime(date_trunc('day', ts), '%Y%m%d_%H%M%S') AS key,
+           count(*) AS n_records, count(*) AS n_listed, true AS all_listed
+    FROM events GROUP BY 1
+""")
+def documents_at_keys(spark, sf_dir):
+    """Files and manifest after a write that fails, one that doesn't, and its repetition: records by key without the part."""
+    root, manifest = shared_dir(spark, "keyed"), shared_dir(spark, "manifest")
+    docs = L.stored(event_documents(spark, sf_dir), "documents")
+    key = F.regexp_replace(U.landing_key("events", F.col("day")), "[.]json$", "")
+    key = F.concat(key, F.lit("-"), F.col("part"), F.lit(".json"))
+    failing = F.when(F.dayofmonth("day") == 3, F.raise_error(F.lit("no space left")).cast("string")).otherwise(key)
+    try:
+        K.write_documents(docs, failing, root, manifest, "events", "landing", 0)
+    except PySparkException:
+        pass
+    else:
+        raise AssertionError("the write did not fail")
+    for _ in range(2):
+        K.write_documents(docs, key, root, manifest, "events", "landing", 0)
+    at = F.regexp_extract("meta_file_name", "(raw/events/.*)$", 1)
+    files = D.scan_documents(spark, f"{root}/raw/events").select(at.alias("key"), D.record_count().alias("found"))
+    listed = K.listed(spark, manifest).rows().select("key", F.col("count").cast("bigint").alias("listed"))
+    both = files.join(listed, "key", "full").withColumn("key", F.regexp_replace("key", "-[0-9]+[.]json$", ""))
+    return both.groupBy("key").agg(
+        F.sum("found").cast("bigint").alias("n_records"), F.sum("listed").cast("bigint").alias("n_listed"),
+        F.every(F.col("found").eqNullSafe(F.col("listed"))).alias("all_listed"),
+    )
+
+
 @query("refused_then_repaired", """
     SELECT date_trunc('day', ts)::TIMESTAMP AS version, count(*) AS n_records,
            (CASE WHEN day(ts) % 5 = 0 THEN 3 WHEN day(ts) % 7 = 0 THEN 2 ELSE 0 END)::INT AS attempt

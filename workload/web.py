@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import extract as E
+from tidemark.plans import history as H
 from tidemark.plans.cycle import run_cycle
+from tidemark.session import shared_dir
 from tidemark.sources import landing as L
 from workload.calendar import CALENDAR_SQL, calendar_rows
 from workload.registry import ROOT, query, table
@@ -301,3 +304,53 @@ def cycle_new_results(spark, sf_dir):
 """)
 def cycle_summary(spark, sf_dir):
     return _cycle(spark, sf_dir).summary
+
+
+# Two runs over halves of the month, the second on top of the first.
+
+
+FIRST_HALF_SQL = CYCLE_SQL.replace("FROM events", "FROM (SELECT * FROM events WHERE day(ts) <= 15)")
+HISTORY_SQL = f"""
+    found AS (
+        SELECT 0 AS run, * FROM (WITH {FIRST_HALF_SQL} SELECT * FROM matches)
+        UNION ALL SELECT 1, * FROM (WITH {CYCLE_SQL} SELECT * FROM matches) WHERE day(meta_file_modified) > 15),
+    latest AS (
+        SELECT * EXCLUDE (run) FROM found
+        QUALIFY row_number() OVER (PARTITION BY "year", tournament_id, match_id
+                                   ORDER BY meta_file_modified DESC, score DESC) = 1)
+"""
+
+
+def history(spark, sf_dir) -> H.History:
+    """The history after two runs. The second fails at the results pages at first and is run again."""
+    home = shared_dir(spark, "history")
+    calendars = L.stored(day_calendar_pages(spark, sf_dir), "calendar-pages")
+    pages = L.stored(user_results_pages(spark, sf_dir), "results-pages")
+    early = F.dayofmonth("retrieved_at") <= 15
+    H.run_cycle(spark, home, 0, calendars.filter(early), pages.filter(early), ROOT)
+    broken = pages.withColumn("html", F.raise_error(F.lit("no connection")).cast("string"))
+    try:
+        H.run_cycle(spark, home, 1, calendars.filter(~early), broken, ROOT)
+    except PySparkException:
+        pass
+    else:
+        raise AssertionError("the run did not fail")
+    return H.run_cycle(spark, home, 1, calendars.filter(~early), pages.filter(~early), ROOT)
+
+
+@query("history_results", f"WITH {HISTORY_SQL} SELECT * FROM latest")
+def history_results(spark, sf_dir):
+    return history(spark, sf_dir).results.drop(
+        "meta_file_name", "player1_seed", "player1_nation", "player2_seed", "player2_nation"
+    )
+
+
+@query("history_documents", f"""
+    WITH {HISTORY_SQL}
+    SELECT 'results' AS kind, run::INT AS run, meta_file_modified, count(*) AS n_records FROM found GROUP BY ALL
+    UNION ALL SELECT 'calendar', (day(ts) > 15)::INT, date_trunc('day', ts)::TIMESTAMP, count(DISTINCT user_id) FROM events GROUP BY ALL
+""")
+def history_documents(spark, sf_dir):
+    """Records by run and version over the raw documents of both runs: nothing is lost or landed twice."""
+    found = H.documents_of(history(spark, sf_dir))
+    return found.groupBy("kind", "run", "meta_file_modified").agg(F.sum("n_records").cast("bigint").alias("n_records"))
