@@ -408,6 +408,35 @@ def test_minhash(documents, monkeypatch, shingle):
     assert minhash.near_duplicates(documents()).collect() == []
 
 
+def test_minhash_rows_of_one_id(documents):
+    """Different rows that share an id link each with what is like it."""
+    one, two, other = (" ".join(f"{k}{n}" for n in range(80)) for k in "abc")
+    rows = [(1, one), (2, two), (3, one + " x"), (3, two + " x"), (4, other), (3, other + " y")]
+    found = {(r["id"], r["n_shingles"]): r["component_id"] for r in minhash.near_duplicates(documents(*rows), 2, 80).collect()}
+    assert set(found.values()) == {1} and len(found) == 4
+
+
+def test_minhash_tiles(spark, monkeypatch):
+    """What tiles find joins exactly the components that plain comparisons of a bucket's members join."""
+    rnd = random.Random(8)
+    base = [f"w{k}" for k in range(40)]
+    texts = [" ".join(w if rnd.random() > 0.06 else f"n{rnd.random()}" for w in base) for _ in range(60)]
+    rows = [(k % 3, k, str(k).encode(), 39, k if k % 4 else 0, 0) for k in range(60)]
+    open_ = spark.createDataFrame(rows, "bucket long, id long, set binary, n_shingles long, component long, main long")
+    given = spark.createDataFrame([(str(k).encode(), t) for k, t in enumerate(texts)], "set binary, text string")
+    sets = [brute.shingles(t, 2) for t in texts]
+    first = {k: r[4] for k, r in enumerate(rows)}
+    same = lambda a, b: near(sets[a], sets[b], 80)
+    expected = brute.reachable(range(60), lambda a, b: first[a] == first[b] or (
+        a % 3 == b % 3 and (first[a] or first[b]) and same(a, b)))
+    for size in (1 << 18, 39 * 128, 500):
+        monkeypatch.setattr(minhash, "TILE", size)
+        links = [(r["a"], r["b"]) for r in minhash.tiles(open_, given, 2, 80).collect()]
+        assert all(same(a, b) and a % 3 == b % 3 for a, b in links)
+        found = brute.reachable(range(60), lambda a, b: first[a] == first[b] or (a, b) in links or (b, a) in links)
+        assert found == expected and len(set(found.values())) < 45
+
+
 def test_minhash_recall():
     """Sets of similarity 0.8 share a band as often as they should."""
     rng = np.random.default_rng(4)

@@ -16,7 +16,7 @@ agree as those of nearly all links do. So no pair that shares a bucket is left o
 
 Defined results: a text that is null, empty or without words has an empty set and links with nothing.
 With fewer words than a shingle has, the whole sequence is the one shingle. Each input row is returned.
-Rows that share an id are one document, which links as any of them does. A null id is its own component,
+Rows that share an id are one document, which links as any of them does: all that differ are compared. A null id is its own component,
 null, and is kept.
 """
 
@@ -27,10 +27,10 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, slices, small_batches, stored
+from tidemark.llm.common import checkpointed, run_starts, slices, small_batches, stored
 from tidemark.llm.components import components
 
 #: Bands and values in a band; permutations, of which two values each are cut into bands in several orders.
@@ -40,6 +40,8 @@ SEED = 20_240_611
 CHUNK, WIDTH = 1 << 21, 1 << 14
 #: Members of a bucket's groups, on average, and how often a crowded bucket is dealt into groups.
 GROUP, DRAWS = 8, 4
+#: Shingles on each side of a tile, about; what a small set counts as at least; columns of a tile's product taken together.
+TILE, LEAST, COLUMNS = 1 << 18, 128, 4096
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -96,42 +98,56 @@ def bands(least: np.ndarray, largest: np.ndarray) -> np.ndarray:
     return found.view(np.int64)
 
 
-def signatures(documents: DataFrame, shingle: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """``(id, n_shingles, fingerprint, bands, values)`` of every row.
+def hashed(texts: list[str | None], shingle: int) -> Iterator[np.ndarray | None]:
+    """Distinct shingle hashes of each text, in order; None for one without words."""
+    for a, b in slices(np.array([len(t or "") for t in texts]), CHUNK):
+        words = [words_of(t) for t in texts[a:b]]
+        flat = np.empty(sum(map(len, words)), object)
+        flat[:] = [w for ws in words for w in ws]
+        hashes, end = pd.util.hash_array(flat, categorize=False), 0
+        for ws in words:
+            start, end = end, end + len(ws)
+            yield shingle_hashes(hashes[start:end], shingle) if ws else None
 
-    The fingerprint tells equal sets; ``values`` has a byte of each of the signature's values.
-    """
+
+def fingerprint(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
+def signatures(documents: DataFrame, shingle: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``(id, n_shingles, set, bands)`` of every row; ``set`` is a fingerprint that tells equal sets."""
     small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, found = batch["text"].tolist(), []
-            for a, b in slices(np.array([len(t or "") for t in texts]), CHUNK):
-                words = [words_of(t) for t in texts[a:b]]
-                flat = np.empty(sum(map(len, words)), object)
-                flat[:] = [w for ws in words for w in ws]
-                hashes, end = pd.util.hash_array(flat, categorize=False), 0
-                for ws in words:
-                    start, end = end, end + len(ws)
-                    if not ws:
-                        found.append((0, None, None, None))
-                        continue
-                    own = shingle_hashes(hashes[start:end], shingle)
-                    mark = hashlib.blake2b(own.tobytes(), digest_size=16).digest()
-                    least, largest = signature(own)
-                    values = _stir(np.append(least, largest)).astype(np.uint8).view(np.int8)
-                    found.append((len(own), mark, bands(least, largest), values))
+            found = [
+                (0, None, None) if own is None else (len(own), fingerprint(own), bands(*signature(own)))
+                for own in hashed(batch["text"].tolist(), shingle)
+            ]
             yield pd.DataFrame({
                 "id": batch["id"].astype("Int64"), "n_shingles": [f[0] for f in found],
-                "fingerprint": [f[1] for f in found], "bands": [f[2] for f in found], "values": [f[3] for f in found],
+                "set": [f[1] for f in found], "bands": [f[2] for f in found],
             })
 
     given = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    return given.mapInPandas(run, "id long, n_shingles long, fingerprint binary, bands array<long>, values array<tinyint>")
+    return given.mapInPandas(run, "id long, n_shingles long, set binary, bands array<long>")
+
+
+def texts_of(documents: DataFrame, nodes: DataFrame, shingle: int, text: str, doc_id: str) -> DataFrame:
+    """``(set, text)`` of each of ``nodes (set, id)``: of several rows with its id, one that has its set."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            marks = [None if own is None else fingerprint(own) for own in hashed(batch["text"].tolist(), shingle)]
+            yield pd.DataFrame({"own": marks, "text": batch["text"]})
+
+    given = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    read = given.join(nodes.select("id").distinct(), "id", "left_semi").select("text").mapInPandas(run, "own binary, text string")
+    return read.join(nodes.select("set"), F.col("own") == F.col("set")).select("set", "text").dropDuplicates(["set"])
 
 
 def linked_pairs(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Those pairs ``(a, b)`` whose sets, taken from the whole texts, are similar enough."""
+    """The ids ``(a, b)`` of those pairs ``(a, b, left_set, right_set)`` whose sets, taken from the whole texts, are similar enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last, own = None, set()
@@ -145,9 +161,104 @@ def linked_pairs(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int)
                 good.append(100 * both >= percent * (len(own) + len(other) - both))
             yield batch.loc[good, ["a", "b"]]
 
-    right = texts.select(F.col("id").alias("b"), F.col("text").alias("right"))
-    left = texts.select(F.col("id").alias("a"), F.col("text").alias("left"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "left", "right").mapInPandas(run, "a long, b long")
+    right = texts.select(F.col("set").alias("right_set"), F.col("text").alias("right"))
+    left = texts.select(F.col("set").alias("left_set"), F.col("text").alias("left"))
+    both = pairs.join(right, "right_set").join(left, "left_set").select("a", "b", "left", "right")
+    return both.mapInPandas(run, "a long, b long")
+
+
+def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many hashes each of ``left`` has in common with each of ``right``, by products over the hashes that both sides have."""
+    sides = []
+    for sets in (left, right):
+        row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        sides.append((row, np.concatenate([np.zeros(0, np.int64), *sets])))
+    common = np.intersect1d(*(np.unique(values) for _, values in sides))
+    found = np.zeros((len(left), len(right)), np.float32)
+    placed = []
+    for row, values in sides:
+        at = np.searchsorted(common, values)
+        known = at < len(common)
+        known[known] = common[at[known]] == values[known]
+        row, at = row[known], at[known]
+        order = np.argsort(at, kind="stable")
+        placed.append((row[order], at[order]))
+    for start in range(0, len(common), COLUMNS):
+        width = min(COLUMNS, len(common) - start)
+        parts = []
+        for (row, at), sets in zip(placed, (left, right), strict=True):
+            a, b = np.searchsorted(at, [start, start + width])
+            part = np.zeros((len(sets), width), np.float32)
+            part[row[a:b], at[a:b] - start] = 1
+            parts.append(part)
+        found += parts[0] @ parts[1].T
+    return found.astype(np.int64)
+
+
+def joining(links: Iterator[tuple[int, int]], component: list[int]) -> Iterator[tuple[int, int]]:
+    """Those links of places that join components which the links before them left apart."""
+    low = {c: c for c in component}
+
+    def root(c: int) -> int:
+        while low[c] != c:
+            low[c] = c = low[low[c]]
+        return c
+
+    for x, y in links:
+        a, b = root(component[x]), root(component[y])
+        if a != b:
+            low[max(a, b)] = min(a, b)
+            yield x, y
+
+
+def tiles(open_: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs ``(a, b, left_set, right_set)`` that join components within buckets, found by comparing all that are apart.
+
+    ``open_`` has ``(bucket, id, set, n_shingles, component, main)``. A bucket's members outside its main component
+    are dealt over the rows of its tiles, and all its members over the columns.
+    """
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [own.view(np.int64) for own in hashed(batch["text"].tolist(), shingle)]
+            yield pd.DataFrame({"set": batch["set"], "shingles": found})
+
+    wanted = open_.select("set").distinct()
+    hashes = texts.join(wanted, "set", "left_semi").mapInPandas(read, "set binary, shingles array<long>")
+    apart, weight = F.col("component") != F.col("main"), F.greatest("n_shingles", F.lit(LEAST))
+    dealt = open_.groupBy("bucket").agg(
+        F.ceil(F.sum(F.when(apart, weight)) / TILE).alias("down"), F.ceil(F.sum(weight) / TILE).alias("across"), F.sum(weight).alias("weight")
+    )
+    # Buckets of one tile share a group with others.
+    together = max(1, (dealt.filter("across = 1").agg(F.sum("weight")).first()[0] or 0) // TILE)
+    group = F.when(F.col("across") == 1, F.pmod(F.xxhash64("bucket"), F.lit(together))).otherwise(F.col("bucket"))
+    placed = open_.join(dealt, "bucket").withColumn("group", group).withColumn("alone", F.col("across") > 1)
+    row, column = (F.pmod(F.xxhash64("set", F.lit(k)), F.col(n)) for k, n in enumerate(("down", "across")))
+    all_rows, all_columns = (F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1)) for n in ("down", "across"))
+    own = ("group", "alone", "bucket", "id", "set", "component")
+    sides = placed.filter(apart).select(*own, F.lit(True).alias("is_left"), row.alias("row"), all_columns.alias("column")).union(
+        placed.select(*own, F.lit(False), all_rows, column)
+    )
+
+    def compare(given: pd.DataFrame) -> pd.DataFrame:
+        given = given.sort_values(["bucket", "is_left"], kind="stable")
+        ids, marks, component, is_left = (given[n].to_numpy() for n in ("id", "set", "component", "is_left"))
+        sets, bucket, found = given["shingles"].tolist(), given["bucket"].to_numpy(), []
+        starts = run_starts(bucket).tolist()
+        for a, e in zip(starts, [*starts[1:], len(bucket)], strict=True):
+            middle = e - int(is_left[a:e].sum())  # the right side, then the left one
+            common = shared(sets[middle:e], sets[a:middle])
+            size = np.array([len(s) for s in sets[a:e]])
+            union = size[middle - a:, None] + size[None, :middle - a] - common
+            linked = (100 * common >= percent * union) & (component[middle:e, None] != component[None, a:middle])
+            places = ((middle - a + x, y) for x, y in zip(*(k.tolist() for k in np.nonzero(linked)), strict=True))
+            found += [(a + x, a + y) for x, y in joining(places, component[a:e].tolist())]
+        x, y = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
+        return pd.DataFrame({"a": ids[x], "b": ids[y], "left_set": marks[x], "right_set": marks[y]})
+
+    return sides.join(hashes, "set").groupBy("group", "alone", "row", "column").applyInPandas(
+        compare, "a long, b long, left_set binary, right_set binary"
+    )
 
 
 def near_duplicates(
@@ -156,59 +267,51 @@ def near_duplicates(
     """``(id, n_shingles, component_id, kept)`` of every row."""
     marked = stored(signatures(documents, shingle, text, doc_id), "signatures")
     known = marked.filter("id IS NOT NULL AND n_shingles > 0")
-    classes = known.groupBy("fingerprint").agg(F.min("id").alias("class"))
-    same = known.join(classes, "fingerprint").filter("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b"))
-    first = known.join(
-        classes, (known["fingerprint"] == classes["fingerprint"]) & (known["id"] == classes["class"]), "left_semi"
-    )
-    spread = first.select("id", "n_shingles", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("id").alias("x"), F.max("id").alias("y")).filter("x < y").select("bucket")
-    members = stored(spread.join(shared, "bucket").dropDuplicates(["bucket", "id"]), "members")
-    given = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    texts = stored(given.join(members.select("id").distinct(), "id", "left_semi"), "texts")
-    values = first.select("id", "bands", "values").dropDuplicates(["id"])
+    classes = known.groupBy("set").agg(F.min("id").alias("class"))
+    same = known.select("id", "set").join(classes, "set").filter("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b"))
+    # Each distinct set once, with the smallest id that has it.
+    first = known.groupBy("set").agg(F.min_by(F.struct("id", "n_shingles", "bands"), "id").alias("n")).select("set", "n.*")
+    spread = first.select("id", "set", "n_shingles", F.explode("bands").alias("bucket"))
+    crowd = spread.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    members = stored(spread.join(crowd, "bucket"), "members")
+    texts = stored(texts_of(documents, members.select("set", "id").distinct(), shingle, text, doc_id), "texts")
 
     def compare(pairs: DataFrame) -> DataFrame:
         return checkpointed(linked_pairs(pairs.distinct(), texts, shingle, percent))
 
-    def sizes_allow(m: str, n: str) -> Column:
-        return 100 * F.least(m, n) >= percent * F.greatest(m, n)
-
     def with_first(rows: DataFrame, groups: Sequence[str]) -> DataFrame:
         """Every member of a group with the one that comes first in it."""
-        first_ = rows.groupBy(*groups).agg(F.min_by(F.struct("id", "n_shingles"), F.struct("place", "id")).alias("c"))
-        both = rows.join(first_, [*groups]).filter((F.col("id") != F.col("c.id")) & sizes_allow("n_shingles", "c.n_shingles"))
-        return both.select(F.least("id", "c.id").alias("a"), F.greatest("id", "c.id").alias("b"))
-
-    crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP)
-    home = members.join(crowded, "bucket").groupBy("id").agg(
-        F.max_by(F.struct("bucket", "n", "n_shingles"), F.struct("n", "bucket")).alias("home")
-    ).select("id", "home.*")
+        first_ = rows.groupBy(*groups).agg(F.min_by(F.struct("id", "n_shingles", "set"), F.struct("place", "id", "set")).alias("c"))
+        sizes_allow = 100 * F.least("n_shingles", "c.n_shingles") >= percent * F.greatest("n_shingles", "c.n_shingles")
+        both = rows.join(first_, [*groups]).filter((F.col("set") != F.col("c.set")) & sizes_allow)
+        ordered = F.col("set") < F.col("c.set")
+        pick = lambda own, other: F.when(ordered, F.col(own)).otherwise(F.col(other))
+        return both.select(
+            pick("id", "c.id").alias("a"), pick("c.id", "id").alias("b"),
+            pick("set", "c.set").alias("left_set"), pick("c.set", "set").alias("right_set"),
+        )
+
+    home = members.filter(F.col("size") > GROUP).groupBy("set").agg(
+        F.max_by(F.struct("id", "bucket", "size", "n_shingles"), F.struct("size", "bucket")).alias("home")
+    ).select("set", "home.*")
     deal = home.withColumn("draw", F.explode(F.array(*[F.lit(k) for k in range(DRAWS)])))
-    deal = deal.withColumn("group", F.pmod(F.xxhash64("id", "draw"), F.ceil(F.col("n") / GROUP)))
-    nearby = with_first(deal.withColumn("place", F.xxhash64("id", "draw", F.lit(1))), ["bucket", "draw", "group"])
+    deal = deal.withColumn("group", F.pmod(F.xxhash64("set", "draw"), F.ceil(F.col("size") / GROUP)))
+    nearby = with_first(deal.withColumn("place", F.xxhash64("set", "draw", F.lit(1))), ["bucket", "draw", "group"])
     stars = with_first(members.withColumn("place", F.col("id")), ["bucket"])
     links = same.union(compare(stars.union(nearby)))
     reached = components(links)
 
     now = members.join(reached, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    parts = now.groupBy("bucket", "component").agg(F.count("*").alias("n")).groupBy("bucket").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")
-    ).filter("parts > 1").select("bucket", "main")
-    open_ = checkpointed(now.join(parts, "bucket").join(values, "id"))
-    left, right = open_.filter("component <> main").alias("l"), open_.alias("r")
-    agree = F.filter(F.zip_with("l.values", "r.values", lambda x, y: x == y), lambda yes: yes)
-    share = percent / 100
-    least = int(2 * PERMUTATIONS * share - 4.25 * (2 * PERMUTATIONS * share * (1 - share)) ** 0.5)
-    pairs = left.join(
-        right,
-        (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.component") != F.col("r.component"))
-        & ((F.col("r.component") == F.col("r.main")) | (F.col("l.id") < F.col("r.id")))
-        & sizes_allow("l.n_shingles", "r.n_shingles") & (F.size(agree) >= least)
-        # A pair that shares several buckets is taken in the first of them.
-        & (F.get(F.array_intersect("l.bands", "r.bands"), F.lit(0)) == F.col("l.bucket")),
-    ).select(F.least("l.id", "r.id").alias("a"), F.greatest("l.id", "r.id").alias("b"))
-    found = compare(pairs)
+    parts = now.groupBy("bucket", "component").agg(F.count("*").alias("n"), *[
+        F.sum(F.xxhash64("set", F.lit(k)).cast("decimal(20,0)")).alias(f"mark{k}") for k in (0, 1)
+    ]).groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("size"),
+        F.sum("mark0").alias("mark0"), F.sum("mark1").alias("mark1"),
+    ).filter("parts > 1")
+    # Buckets with the same members, told by two sums over their sets' hashes, need one comparison.
+    parts = parts.groupBy("size", "mark0", "mark1").agg(F.min_by(F.struct("bucket", "main"), "bucket").alias("b")).select("b.*")
+    open_ = checkpointed(now.join(parts, "bucket").select("bucket", "id", "set", "n_shingles", "component", "main"))
+    found = compare(tiles(open_, texts, shingle, percent))
     reached = components(reached.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found))
     return marked.join(reached, "id", "left").select(
         "id", "n_shingles", F.coalesce("component", "id").alias("component_id"),
