@@ -28,14 +28,14 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, once.
+    """The document with the smallest id of each group of near duplicates.
 
-    Of different rows that share an id, the smallest text stays. Rows without an id stay.
+    Of rows that share its id, one of each text stays. Rows without an id stay.
     """
     found = minhash.near_duplicates(docs, SHINGLE, PERCENT)
     gone = found.filter("NOT kept").select(F.col("id").alias(OWN)).distinct()
     left = docs.filter("doc_id IS NOT NULL").join(gone, F.col("doc_id") == F.col(OWN), "left_anti")
-    order = Window.partitionBy("doc_id").orderBy(*[c for c in ("text", "lang", "source") if c in docs.columns])
+    order = Window.partitionBy("doc_id", "text").orderBy(*[c for c in ("lang", "source", "n_chars") if c in docs.columns])
     once = left.withColumn(OWN, F.row_number().over(order)).filter(F.col(OWN) == 1).select(docs.columns)
     return once.union(docs.filter("doc_id IS NULL"))
 
