@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
 import hashlib
+import math
 import random
 import time
 
@@ -380,6 +381,27 @@ def test_top_k(spark, monkeypatch):
     assert top_k.top_k(vectors(spark, (1, None)).limit(0), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_top_k_large_components(spark, monkeypatch):
+    """Components and sums that doubles don't hold, by the same method, with floors from the first shard."""
+    monkeypatch.setattr(top_k, "SHARD", 30)
+    given = [(0, [1.0, 0.0]), (1, [2.0**24, 0.0]), (2, [0.5, 1.0])]
+    found = top_k.top_k(vectors(spark, *given), F.col("vec_id") % 50 == 0).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in found) == [(1, 1, 2**40), (2, 2, 128 * 256)]
+    rnd = random.Random(3)
+    data = {k: [float(np.float32(rnd.choice([1, 1, 2.0**18, -(2.0**19)]) * rnd.uniform(-8, 8))) for _ in range(6)] for k in range(120)}
+    asked = {}
+    for r in top_k.top_k(vectors(spark, *data.items()), F.col("vec_id") % 10 == 0, k=4).collect():
+        asked.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    whole = {k: [math.floor(256 * x) for x in v] for k, v in data.items()}
+    for q in range(0, 120, 10):
+        scores = {k: sum(a * b for a, b in zip(whole[q], v)) for k, v in whole.items() if k != q}
+        best = sorted((-s, k) for k, s in scores.items())[:4]
+        assert sorted(asked[q]) == [(n + 1, k, -s) for n, (s, k) in enumerate(best)]
+    assert max(abs(s) for _, _, s in asked[0]) > 2**53
+    huge = top_k.top_k(vectors(spark, (0, [1e300]), (1, [1e300]), (2, [-1e300])), F.col("vec_id") == 0).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in huge) == [(1, 1, 2**63 - 1), (2, 2, -(2**63))]
+
+
 # --- min-max hashing
 
 
