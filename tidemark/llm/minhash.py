@@ -211,6 +211,18 @@ def joining(links: Iterator[tuple[int, int]], component: list[int]) -> Iterator[
             yield x, y
 
 
+def uncovered(open_: DataFrame) -> DataFrame:
+    """The members of those open buckets that don't lie within another one as a whole.
+
+    Each member's home is the most crowded of its open buckets. Where all members of a bucket have the same
+    home, they are together there, and all their pairs are compared there.
+    """
+    home = open_.groupBy("set").agg(F.max_by("bucket", F.struct("size", "bucket")).alias("home"))
+    spread = open_.select("bucket", "set").join(home, "set").groupBy("bucket").agg(F.min("home").alias("low"), F.max("home").alias("high"))
+    needed = spread.filter((F.col("low") != F.col("high")) | (F.col("low") == F.col("bucket"))).select("bucket")
+    return open_.join(needed, "bucket", "left_semi")
+
+
 def tiles(open_: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Pairs ``(a, b, left_set, right_set)`` that join components within buckets, found by comparing all that are apart.
 
@@ -310,8 +322,8 @@ def near_duplicates(
     ).filter("parts > 1")
     # Buckets with the same members, told by two sums over their sets' hashes, need one comparison.
     parts = parts.groupBy("size", "mark0", "mark1").agg(F.min_by(F.struct("bucket", "main"), "bucket").alias("b")).select("b.*")
-    open_ = checkpointed(now.join(parts, "bucket").select("bucket", "id", "set", "n_shingles", "component", "main"))
-    found = compare(tiles(open_, texts, shingle, percent))
+    open_ = checkpointed(now.join(parts, "bucket").select("bucket", "id", "set", "size", "n_shingles", "component", "main"))
+    found = compare(tiles(uncovered(open_), texts, shingle, percent))
     reached = components(reached.select(F.col("id").alias("a"), F.col("component").alias("b")).union(found))
     return marked.join(reached, "id", "left").select(
         "id", "n_shingles", F.coalesce("component", "id").alias("component_id"),
