@@ -185,3 +185,38 @@ def whitened(vectors, components):
     order = np.argsort(values)[::-1][:components]
     rows = np.array([[float(Fraction(n * c - s, n)) for c, s in zip(v, sums, strict=True)] for v in x])
     return n, deviation, rows @ vectors_[:, order] / np.sqrt(values[order]), values[order] / values.sum()
+
+
+def mixed_bits(texts, learned, mixer):
+    """Bits of each text under the context-mixing model: dictionaries of counts, and the mixer's weights as they are."""
+    def tokens(text):
+        return b" ".join((text or "").encode().lower().split()) + b"\n"
+
+    def coded(data):
+        for k, byte in enumerate(data):
+            word = max(data.rfind(b" ", 0, k), data.rfind(b"\n", 0, k)) + 1
+            seen = [(n, (bytes(4) + data[:k])[-n:]) for n in (1, 2, 3, 4)] + [("word", data[word:k])]
+            for place in range(8):
+                yield [(c, place, byte >> (8 - place)) for c in seen], place, byte >> (7 - place) & 1, seen[0][1][0]
+
+    counts = {}
+    for text, known in zip(texts, learned):
+        for cells, _, bit, _ in coded(tokens(text)) if known else ():
+            for cell in cells:
+                counts.setdefault(cell, [0, 0])[bit] += 1
+    found = []
+    for text in texts:
+        total = 0.0
+        for cells, place, bit, before in coded(tokens(text)):
+            n = [counts.get(cell, (0, 0)) for cell in cells]
+            x = [max(-127, min(127, round(14 * math.log((one + 0.08) / (zero + 0.08))))) / 14 for zero, one in n]
+            level = [min(3, int(math.log2(sum(c) + 1) / 2)) for c in n]
+            weights = mixer.weights[(place * 4 + level[4]) * 4 + level[3]]
+            mixed = max(-11.4, min(11.4, sum(w * v for w, v in zip(weights, x))))
+            at = max(0.0, min(23 - 1e-4, mixed + 11.5))
+            low = int(at)
+            table = mixer.refined[before][low] * (1 - at + low) + mixer.refined[before][low + 1] * (at - low)
+            p = max(1e-5, min(1 - 1e-5, (1 / (1 + math.exp(-mixed)) + table) / 2))
+            total -= math.log2(p if bit else 1 - p)
+        found.append(total)
+    return found

@@ -186,14 +186,41 @@ def test_lm_rows(documents):
 def test_lm_probabilities_add_up():
     """After any context the model shares exactly 1 among all bytes."""
     rnd = np.random.default_rng(0)
-    tables = {
-        "stretched": [rnd.integers(-60, 60, 1 << b).astype(np.int8) for b in lm_scoring.PLACES],
-        "known": [rnd.integers(0, lm_scoring.LEVELS, 1 << b).astype(np.uint8) for b in lm_scoring.PLACES],
-    }
-    mixer = lm_scoring.Mixer(tables)
-    mixer.learn(lm_scoring.contexts((EN + "\n").encode())[1])
-    keys = np.int64(123 << 40 | 0x64636261 << 8) | np.arange(256)
-    assert abs((2.0 ** -mixer.bits(keys)).sum() - 1) < 1e-9
+    byte, counts = np.arange(256), [rnd.integers(0, 40, 256) * rnd.integers(0, 2, 256) for _ in range(5)]
+    pairs, tables = np.int64(0x6463 << 8) | byte, [np.zeros(1 << 16, np.int8), np.zeros(1 << 24, np.int8)]
+    for table, context, n in zip(tables, (0x63, 0x6463), counts, strict=False):
+        table[context << 8:(context + 1) << 8] = lm_scoring.node_table(n[None, :])[0]
+    asked = [lm_scoring.path_steps(np.int64(context << 8) | byte, n) for context, n in zip((7, 8, 9), counts[2:], strict=True)]
+    x = [*lm_scoring.short_steps(pairs, tables), *(steps for steps, _ in asked)]
+    gate = rnd.integers(0, 128, 256).astype(np.uint8)[:, None] * np.zeros(8, np.uint8) + np.arange(8, dtype=np.uint8) * 16
+    mixer = lm_scoring.Mixer()
+    for _ in range(5):
+        mixer.learn(x, gate, byte, np.full(256, 99))
+    assert abs((2.0 ** -mixer.bits(x, gate, byte, np.full(256, 99))).sum() - 1) < 1e-9
+
+
+def test_lm_plain_model(documents):
+    """Scores equal those of a model that counts each context's bits in a dictionary, with the weights that blocks began with."""
+    rows = [(k, t) for k, t in enumerate([EN, DE, EN.upper(), "a", "", LONG[:3000], "été \U0001f600 x", EN + " " + DE])] + [(None, DE)]
+    df = documents(*rows)
+    assert df.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(lm_scoring.TUNED)) == 0).isEmpty()
+    learned = [not brute.left_out(i, 7, 2) for i, _ in rows]
+    want = brute.mixed_bits([t for _, t in rows], learned, lm_scoring.Mixer())
+    found = lm_scoring.score(df, remainder(F.col("doc_id"), 7) != 2).collect()
+    got = sorted((str(r["id"]), -r["score"] / math.log10(2)) for r in found)
+    for (id_, bits), (wanted_id, wanted) in zip(got, sorted((str(i), w) for (i, _), w in zip(rows, want)), strict=True):
+        assert id_ == wanted_id and math.isclose(bits, wanted, rel_tol=1e-5)
+
+
+def test_lm_weights_learn(documents, monkeypatch):
+    """Rounds of online steps over several blocks lower the bits of texts that were not learned from."""
+    rows = [(k, " ".join(f"word{(k * 37 + j * j) % 211} and {DE.split()[(k + j) % 14]}" for j in range(60))) for k in range(700)]
+    df, learn = documents(*rows), remainder(F.col("doc_id"), 7) != 2
+    assert df.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(lm_scoring.TUNED)) == 0).count() > 3
+    unseen = F.avg(F.when(~F.col("learned"), F.col("bits_per_byte")))
+    taught = lm_scoring.score(df.repartition(3), learn).agg(unseen).first()[0]
+    monkeypatch.setattr(lm_scoring, "ROUNDS", 0)
+    assert taught < 0.99 * lm_scoring.score(df.repartition(3), learn).agg(unseen).first()[0]
 
 
 def test_lm_nothing_learned(documents):
