@@ -135,6 +135,21 @@ def test_personal_data_loose(documents):
     assert all(r["personal"]["base"] == [] for r in found)
 
 
+def test_personal_data_assured(documents):
+    """What assures a threshold is one bound at every size, and candidates found before give the same result."""
+    n = np.array([1, 20, 60, 1000, 1000])
+    bound = personal_data.assured(np.array([1, 20, 60, 1000, 990]), n)
+    assert (np.diff(bound[:4]) > 0).all() and (bound < 1).all() and bound[4] < 0.99
+    df = documents(*[(k, f"{EN} mail user{k}@mail.org or 10.0.0.{k} or user (at) mail{k}.org") for k in range(150)], (None, None))
+    once = personal_data.propose(df)
+    model = personal_data.learn(df)
+    assert personal_data.learn(once, given="proposed") == model
+    assert np.isfinite(model.threshold[personal_data.EMAIL])
+    apart = personal_data.find(df, model).select("doc_id", "personal").collect()
+    assert personal_data.find(once, model, given="proposed").select("doc_id", "personal").collect() == apart
+    assert sum(len(r["personal"]["spans"]) for r in apart) == 3 * 150
+
+
 def test_personal_data_empty_table(documents):
     df = documents()
     assert personal_data.find(df, personal_data.learn(df)).collect() == []

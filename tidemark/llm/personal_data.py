@@ -10,13 +10,14 @@ by its format and its surroundings, without the checks. Boosted trees learn from
 descriptions go with spans that pass the checks; all they need is a count of candidates for each
 description, which has a bounded number of rows and is summed over all documents. Half of the texts, by hash, are for fitting, the other half for
 calibration: each kind's threshold is the lowest score above which candidates pass the checks as often as
-``PRECISION``. Candidates above it are added to the base spans, unless one of the same kind is there.
+``PRECISION`` and, as few of them say little, with a lower confidence bound of ``ASSURED``. Candidates above it are
+added to the base spans, unless one of the same kind is there. ``propose`` finds the candidates once for both uses.
 
 Positions are code points. The regular expressions never backtrack over long runs, and none retries a
 run from its middle, so very long texts take time in proportion.
 
-Defined results: a null or empty text has no spans. If a kind has too few candidates to calibrate with,
-nothing is added to its base spans. Repeated rows stay repeated; other columns stay as they are.
+Defined results: a null or empty text has no spans. Where no score assures a kind's rate, nothing is added
+to its base spans. Repeated rows stay repeated; other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -56,8 +57,9 @@ CUES = (
 AROUND = 24
 #: Trees, their depth and learning rate.
 TREES, DEPTH, RATE = 24, 2, 0.3
-#: How often candidates above the threshold must pass the checks, and how many there must be at least.
-PRECISION, SUPPORT = 0.995, 100
+#: How often candidates above the threshold must pass the checks, and the least that this rate may be in
+#: the whole population with the given normal quantile (one-sided 95 %).
+PRECISION, ASSURED, QUANTILE = 0.995, 0.95, 1.645
 #: Matches whose lengths are summed in one go.
 BLOCK = 64
 #: Features and their numbers of values.
@@ -256,14 +258,30 @@ def _grow(x: np.ndarray, slope: np.ndarray, weight: np.ndarray, depth: int):
     return (*best[1], _grow(x[here], slope[here], weight[here], depth - 1), _grow(x[~here], slope[~here], weight[~here], depth - 1))
 
 
-def learn(documents: DataFrame, text: str = "text") -> Model:
-    """Trees and thresholds from the candidates of all documents.
+def assured(good: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Lower confidence bound of the rate behind ``good`` of ``n`` (Wilson's interval)."""
+    rate, z2 = good / n, QUANTILE**2
+    spread = QUANTILE * np.sqrt(rate * (1 - rate) / n + z2 / (4 * n * n))
+    return (rate + z2 / (2 * n) - spread) / (1 + z2 / n)
+
+
+def propose(documents: DataFrame, text: str = "text", into: str = "proposed") -> DataFrame:
+    """All columns of ``documents`` and ``into``, a ``struct<fold, candidates>`` that ``learn`` and ``find`` can take."""
+    return documents.withColumn(into, proposed(F.col(text)))
+
+
+def proposed(text: Column) -> Column:
+    fold = F.pmod(F.xxhash64(text), F.lit(2)).alias("fold")
+    return F.struct(fold, candidates(text).alias("candidates"))
+
+
+def learn(documents: DataFrame, text: str = "text", given: str | None = None) -> Model:
+    """Trees and thresholds from the candidates of all documents, which a column ``given`` may hold already.
 
     What comes to the driver is a row for each description, whose number the features' values bound.
     """
-    described_ = documents.select(
-        F.pmod(F.xxhash64(F.col(text)), F.lit(2)).alias("fold"), F.explode(candidates(F.col(text))).alias("c")
-    )
+    found = documents.select((F.col(given) if given else proposed(F.col(text))).alias("found"))
+    described_ = found.select("found.fold", F.explode("found.candidates").alias("c"))
     counts = described_.groupBy("fold", "c.kind", *[f"c.{name}" for name in FEATURES]).agg(
         F.count("*").alias("n"), F.count_if("c.good").alias("good")
     )
@@ -285,14 +303,14 @@ def learn(documents: DataFrame, text: str = "text") -> Model:
         order = np.argsort(-held, kind="stable")
         held, n, good = held[order], hold[order, -2].cumsum(), hold[order, -1].cumsum()
         last = np.append(held[1:] != held[:-1], True)  # equal scores stand or fall together
-        fine = last & (good >= PRECISION * n) & (n >= SUPPORT)
+        fine = last & (good >= PRECISION * n) & (assured(good, n) >= ASSURED)
         if fine.any():
             model.threshold[kind] = float(held[np.flatnonzero(fine)[-1]])
     return model
 
 
-def detected(text: Column, model: Model) -> Column:
-    """``struct<base, spans>``: sorted arrays of ``struct<start, kind, end>``, the base ones and all."""
+def detected(found: Column, model: Model) -> Column:
+    """Of candidates ``struct<base, spans>``: sorted arrays of ``struct<start, kind, end>``, the base ones and all."""
 
     def span(c: Column) -> Column:
         return F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"))
@@ -317,7 +335,7 @@ def detected(text: Column, model: Model) -> Column:
             known.alias("base"), F.array_sort(F.concat(known, added(known))).alias("spans")
         ))
 
-    return let(candidates(text), both)
+    return let(found, both)
 
 
 def written(spans: Column) -> Column:
@@ -348,9 +366,12 @@ def redacted(text: Column, spans: Column) -> Column:
     )
 
 
-def find(documents: DataFrame, model: Model, text: str = "text", into: str = "personal") -> DataFrame:
-    """All columns of ``documents`` and ``into``, a ``struct<base, spans>``."""
-    return documents.withColumn(into, detected(F.col(text), model))
+def find(
+    documents: DataFrame, model: Model, text: str = "text", into: str = "personal", given: str | None = None,
+) -> DataFrame:
+    """All columns of ``documents`` and ``into``, a ``struct<base, spans>``. ``given`` names a column by ``propose``."""
+    found = F.col(given)["candidates"] if given else candidates(F.col(text))
+    return documents.withColumn(into, detected(found, model))
 
 
 def count_of(spans: Column, kind: int) -> Column:

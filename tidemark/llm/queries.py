@@ -12,7 +12,7 @@ from tidemark.llm import (
     alignment, bpe, language_id, link_trust, lm_scoring, minhash, mixing, near_vectors, oracles, personal_data, quality,
     suffix_dedup, top_k, whitening,
 )
-from tidemark.llm.common import remainder, table
+from tidemark.llm.common import remainder, stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,7 +52,8 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_personal_data")
 def documents_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = personal_data.find(documents, personal_data.learn(documents))
+    once = stored(personal_data.propose(documents).drop("text"), "candidates")
+    found = personal_data.find(once, personal_data.learn(once, given="proposed"), given="proposed")
     base = F.col("personal.base")
     return found.select(
         "doc_id",
