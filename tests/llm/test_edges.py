@@ -480,6 +480,32 @@ def test_minhash_rows_of_one_id(documents):
     assert set(found.values()) == {1} and len(found) == 4
 
 
+def test_minhash_likely_among(spark, monkeypatch):
+    """The map of bits loses no id, and few others get through while it is far from full."""
+    rows = spark.range(-3000, 3000).union(spark.createDataFrame([(2**62,), (None,)], "id long"))
+    ids = rows.filter("id % 7 = 0 OR id > 3000")
+    left = {r["id"] for r in minhash.likely_among(rows, ids).collect()}
+    wanted = {r["id"] for r in ids.collect()}
+    assert wanted <= left and len(left - wanted) < 20
+    monkeypatch.setattr(minhash, "ID_BITS", 64)
+    assert wanted <= {r["id"] for r in minhash.likely_among(rows, ids).collect()}
+    assert minhash.likely_among(rows, ids.limit(0)).collect() == []
+
+
+def test_minhash_marks_that_meet(documents, monkeypatch):
+    """Sets of one id whose short marks are equal join each other's buckets; links stay the same."""
+    other = " ".join(f"word{k}" for k in range(30))
+    df = documents((1, EN), (1, other), (2, f"{EN} again"), (3, f"{other} again"), (4, None))
+
+    def found():
+        return sorted((r["id"], r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(df, 2, 80).collect())
+
+    expected = found()
+    hashes = F.hash
+    monkeypatch.setattr(minhash.F, "hash", lambda *c: hashes(*c) * 0)
+    assert found() == expected and {r[2] for r in expected} == {1, 4}
+
+
 def test_minhash_tiles(spark, monkeypatch):
     """What tiles find joins exactly the components that plain comparisons of a bucket's members join."""
     rnd = random.Random(8)

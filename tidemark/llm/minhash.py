@@ -42,6 +42,8 @@ CHUNK, WIDTH = 1 << 21, 1 << 14
 GROUP, DRAWS = 8, 4
 #: Shingles on each side of a tile, about; what a small set counts as at least; columns of a tile's product taken together.
 TILE, LEAST, COLUMNS = 1 << 18, 128, 4096
+#: Bits of the map of ids that keeps other texts out of a shuffle: 8 MB at most, however many ids there are.
+ID_BITS = 1 << 26
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -133,6 +135,19 @@ def signatures(documents: DataFrame, shingle: int, text: str = "text", doc_id: s
     return given.mapInPandas(run, "id long, n_shingles long, set binary, bands array<long>")
 
 
+def likely_among(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Those of ``rows`` whose ``id`` may be one of ``ids``: all that are, and of the others the more, the fuller the map of bits is.
+
+    What is broadcast is that map, in parts of 32,768 bits, whose size ``ID_BITS`` bounds.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(ID_BITS))
+    maps = ids.groupBy(F.bitmap_bucket_number(place).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_map"))
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring("_map", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    found = rows.withColumn("_part", F.bitmap_bucket_number(place)).join(F.broadcast(maps), "_part")
+    return found.filter(F.getbit(byte, (bit % 8).cast("int")) == 1).select(rows.columns)
+
+
 def texts_of(documents: DataFrame, nodes: DataFrame, shingle: int, text: str, doc_id: str) -> DataFrame:
     """``(set, text)`` of each of ``nodes (set, id)``: of several rows with its id, one that has its set."""
 
@@ -142,7 +157,8 @@ def texts_of(documents: DataFrame, nodes: DataFrame, shingle: int, text: str, do
             yield pd.DataFrame({"own": marks, "text": batch["text"]})
 
     given = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    read = given.join(nodes.select("id").distinct(), "id", "left_semi").select("text").mapInPandas(run, "own binary, text string")
+    ids = nodes.select("id").distinct()
+    read = likely_among(given, ids).join(ids, "id", "left_semi").select("text").mapInPandas(run, "own binary, text string")
     return read.join(nodes.select("set"), F.col("own") == F.col("set")).select("set", "text").dropDuplicates(["set"])
 
 
@@ -281,11 +297,14 @@ def near_duplicates(
     known = marked.filter("id IS NOT NULL AND n_shingles > 0")
     classes = known.groupBy("set").agg(F.min("id").alias("class"))
     same = known.select("id", "set").join(classes, "set").filter("id <> class").select(F.col("id").alias("a"), F.col("class").alias("b"))
-    # Each distinct set once, with the smallest id that has it.
-    first = known.groupBy("set").agg(F.min_by(F.struct("id", "n_shingles", "bands"), "id").alias("n")).select("set", "n.*")
-    spread = first.select("id", "set", "n_shingles", F.explode("bands").alias("bucket"))
+    # Each distinct set once, with the smallest id that has it. Its buckets are shuffled with that id and a short mark of the
+    # set; should sets of one id share a mark, each joins the other's buckets, where it is compared like any member.
+    nodes = known.groupBy("set").agg(F.min_by(F.struct("id", "n_shingles"), "id").alias("n")).select("set", "n.*", F.hash("set").alias("mark"))
+    first = known.groupBy("set").agg(F.min_by(F.struct("id", "bands"), "id").alias("n")).select("n.id", F.hash("set").alias("mark"), "n.bands")
+    spread = first.select("id", "mark", F.explode("bands").alias("bucket"))
     crowd = spread.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
-    members = stored(spread.join(crowd, "bucket"), "members")
+    together = spread.join(crowd, "bucket").join(nodes, ["id", "mark"])
+    members = stored(together.select("bucket", "id", "set", "n_shingles", "size"), "members")
     texts = stored(texts_of(documents, members.select("set", "id").distinct(), shingle, text, doc_id), "texts")
 
     def compare(pairs: DataFrame) -> DataFrame:
