@@ -154,12 +154,12 @@ def texts_of(documents: DataFrame, nodes: DataFrame, shingle: int, text: str, do
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             marks = [None if own is None else fingerprint(own) for own in hashed(batch["text"].tolist(), shingle)]
-            yield pd.DataFrame({"own": marks, "text": batch["text"]})
+            yield pd.DataFrame({"set": marks, "id": batch["id"].astype("Int64"), "text": batch["text"]})
 
     given = documents.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    ids = nodes.select("id").distinct()
-    read = likely_among(given, ids).join(ids, "id", "left_semi").select("text").mapInPandas(run, "own binary, text string")
-    return read.join(nodes.select("set"), F.col("own") == F.col("set")).select("set", "text").dropDuplicates(["set"])
+    # Texts are told from others before anything is shuffled; those that only seem to be members go in the join.
+    read = likely_among(given, nodes.select("id")).mapInPandas(run, "set binary, id long, text string")
+    return read.join(nodes, ["set", "id"]).select("set", "text").dropDuplicates(["set"])
 
 
 def linked_pairs(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
