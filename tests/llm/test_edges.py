@@ -3,7 +3,9 @@
 import hashlib
 import math
 import random
+import re
 import time
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -238,6 +240,64 @@ def test_lm_weights_learn(documents, monkeypatch):
     assert taught < 0.99 * lm_scoring.score(df.repartition(3), learn).agg(unseen).first()[0]
 
 
+def test_lm_units(monkeypatch):
+    """Pairs, their counts and the bytes' order are those of plain loops over the bytes, also if parts are cut within documents."""
+    rnd = np.random.default_rng(5)
+    odd = [None, "", "a", "ab", "abc", "abcd", "a b c", "ab cd ab", "\0 \0a \0\0ab ab", "\0ab", "été \U0001f600 x", "x" * 40, EN, " y\tz\n"]
+    odd += [" ".join("".join(rnd.choice(list("ab\0é"), n)) for n in rnd.integers(1, 7, 20)) for _ in range(20)]
+    lines = [lm_scoring.words_and_end(t) for t in odd]
+    roles, sizes = np.arange(len(lines)) % 3, np.array([len(x) for x in lines])
+    assert lm_scoring.Words(lm_scoring.words_packed(lines)).lines() == lines
+    for part in (lm_scoring.PART, 100):
+        monkeypatch.setattr(lm_scoring, "PART", part)
+        for wanted in (None, roles == 2):
+            own = [x for i, x in enumerate(lines) if wanted is None or wanted[i]]
+            units = [u for _, u in lm_scoring.units(lm_scoring.Words(lm_scoring.words_packed(own)), sizes, roles, wanted)]
+            assert (len(units) > 1) == (part == 100)
+            assert b"".join(u.byte[u.places()].astype(np.uint8).tobytes() for u in units) == b"".join(own)
+            for k, width in enumerate((3, 4)):
+                for role in (1, 2):
+                    want, got = Counter(), Counter()
+                    for line, r in zip(lines, roles, strict=True):
+                        if r == role and (wanted is None or r == 2):
+                            before = bytes(width) + line
+                            want.update(int.from_bytes(before[i:i + width + 1], "big") for i in range(len(line)))
+                    for u in units:
+                        n = np.bincount(u.at[k], u.times[role - 1], len(u.keys[k])).astype(int)
+                        got.update({int(key): int(m) for key, m in zip(u.keys[k], n, strict=True) if m})
+                    assert got == want
+            for role in (1, 2):
+                want = Counter(
+                    (bytes(word[:i]), word[i]) for line, r in zip(lines, roles, strict=True) if r == role and (wanted is None or r == 2)
+                    for word in re.findall(rb"[^ \n]*[ \n]", line) for i in range(len(word))
+                )
+                got = Counter()
+                for u in units:
+                    n = np.bincount(u.at[2], u.times[role - 1], len(u.keys[2])).astype(int)
+                    got.update({int(key): int(m) for key, m in zip(u.keys[2], n, strict=True) if m})
+                assert sorted(got.values()) == sorted(want.values())
+
+
+def test_lm_replies_take_little(documents, monkeypatch):
+    """Replies come back as they were; all of them take less than three bytes for a byte of this text, where they took 3.7."""
+    rnd = np.random.default_rng(6)
+    keys = np.unique(rnd.integers(0, 3000, 20000) << 8 | rnd.integers(97, 123, 20000))
+    steps, levels = lm_scoring.path_steps(keys, rnd.integers(0, 50, len(keys)))
+    offsets = np.array([0, 0, 700, 701, len(keys)])
+    rows = list(lm_scoring.coded(keys, steps, levels, offsets))
+    found = lm_scoring.decoded(keys, offsets, rows)
+    assert (found[0] == steps).all() and (found[1] == levels).all()
+    words = ["".join(rnd.choice(list("etaoinshrdlu"), n)) for n in rnd.integers(2, 9, 4000)]
+    rows = [(k, " ".join(rnd.choice(words, 400))) for k in range(60)]
+    kept, stored = {}, lm_scoring.stored
+    monkeypatch.setattr(lm_scoring, "stored", lambda df, name: kept.setdefault(name, stored(df, name)))
+    df = documents(*rows).repartition(2)
+    assert lm_scoring.score(df, remainder(F.col("doc_id"), 7) != 2).count() == 60
+    bytes_ = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in ("steps", "levels", "tuned_steps", "tuned_levels"))
+    taken = kept["predictions"].agg(F.sum(bytes_)).first()[0]
+    assert taken < 3 * sum(len(t) for _, t in rows)
+
+
 def test_lm_nothing_learned(documents):
     found = lm_scoring.score(documents((1, EN), (2, None)), F.lit(False)).collect()
     assert {r["train_tokens"] for r in found} == {0} and {r["n_known"] for r in found} == {0}
