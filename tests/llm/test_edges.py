@@ -5,9 +5,11 @@ import math
 import random
 import re
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from conftest_llm import brute, near
@@ -17,6 +19,7 @@ import corpus_pipeline
 from tidemark.llm import (
     bpe, language_id, link_trust, lm_scoring, minhash, mixing, near_vectors, personal_data, suffix_dedup, top_k,
 )
+from tidemark.llm.blocks import packed, unpacked
 from tidemark.llm.common import remainder
 
 EN = "The quick brown fox jumps over the lazy dog while seven cats watch from the garden wall and nobody says a word"
@@ -183,6 +186,80 @@ def test_suffix_dedup_strips(monkeypatch, documents):
     assert whole.windows.sum() == parts.windows.sum() == 2 * (len(text) - suffix_dedup.DEPTH + 1)
 
 
+def test_suffix_dedup_anchors_whatever_the_strips(monkeypatch):
+    rnd = random.Random(2)
+    texts = ["".join(rnd.choices("ab c", k=rnd.choice([0, 10, 49, 50, 51, 300, 2000]))).encode() for _ in range(30)]
+    data, borders = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    hasher = suffix_dedup.Hasher()
+    whole = vars(suffix_dedup.anchors(data, borders, hasher))
+    for strip in (36, 50, 301):
+        monkeypatch.setattr(suffix_dedup, "STRIP", strip)
+        parts = vars(suffix_dedup.anchors(data, borders, hasher))
+        assert all(np.array_equal(whole[name], parts[name]) for name in whole)
+
+
+def contexts(count, grams):
+    """Contexts of a few grams, of which many differ in a byte; grams lie anywhere in the first window."""
+    rnd = np.random.default_rng(count)
+    around = rnd.integers(97, 100, (grams, 120), np.uint8)
+    gram, windows, ids = rnd.integers(0, grams, count), rnd.integers(1, 36, count), rnd.integers(0, 9, count)
+    ahead = windows - 1 + rnd.integers(0, 36 - windows)
+    data = [around[g, 40 - a:90 - a + w - 1].copy() for g, a, w in zip(gram, ahead, windows)]
+    for k, bytes_ in enumerate(data):
+        bytes_[rnd.integers(0, len(bytes_))] += k % 2
+    return gram.astype(np.uint64), ids, ahead, windows, data
+
+
+@pytest.mark.parametrize("at_once", [1, 60, 1 << 19])
+def test_suffix_dedup_grams_larger_than_a_sort(monkeypatch, at_once):
+    monkeypatch.setattr(suffix_dedup, "SORTED", at_once)
+    for count, grams in ((1, 1), (150, 1), (300, 20)):
+        gram, ids, ahead, windows, data = contexts(count, grams)
+        own = [(g, a - k, d[k:k + 50].tobytes(), i) for g, a, w, d, i in zip(gram, ahead, windows, data, ids) for k in range(w)]
+        lowest = {}
+        for *key, i in own:
+            lowest[tuple(key)] = min(i, lowest.get(tuple(key), i))
+        found = suffix_dedup.repeated_windows(gram, ids, ahead, windows, np.concatenate([*data, np.zeros(8, np.uint8)]))
+        assert found.tolist() == [lowest[tuple(key)] < i for *key, i in own]
+
+
+@pytest.mark.parametrize("at_once", [1, 60, 1 << 19])
+def test_suffix_dedup_kinds_by_ranges(monkeypatch, at_once):
+    monkeypatch.setattr(suffix_dedup, "SORTED", at_once)
+    rnd = np.random.default_rng(5)
+    names = rnd.integers(0, 1 << suffix_dedup.HASH_BITS, 40).astype(np.uint64)
+    asked = [(np.sort(rnd.choice(names, n)), rnd.integers(0, 3, n).astype(np.uint64), rnd.integers(0, 9, n)) for n in (1, 30, 200)]
+    rows = [(k, 0, packed(np.diff(g, prepend=np.uint64(0))), packed(a), packed(i)) for k, (g, a, i) in enumerate(asked)]
+    found = suffix_dedup.settle(pd.DataFrame(rows, columns=["block", "bucket", "gram", "around", "ids"]))
+    every = [x for g, a, i in asked for x in zip(g.tolist(), a.tolist(), i.tolist())]
+    for flags, (g, a, i) in zip(found["flags"], asked):
+        assert unpacked(flags, np.uint8).tolist() == [
+            suffix_dedup.REPEATED * any((g_, a_) == x[:2] and x[2] < i_ for x in every)
+            + suffix_dedup.MIXED * any(g_ == x[0] and a_ != x[1] for x in every)
+            for g_, a_, i_ in zip(g.tolist(), a.tolist(), i.tolist())
+        ]
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_suffix_dedup_memory():
+    """A worker's arrays stay small beside an executor: of a block of 4 MB, and of contexts with many or with few grams."""
+    data = np.random.default_rng(1).integers(97, 123, 1 << 22, np.uint8)
+    hasher = suffix_dedup.Hasher()
+    assert peak_mb(lambda: suffix_dedup.anchors(data, np.arange(0, len(data) + 1, 4096), hasher)) < 48
+    for grams in (20_000, 2):
+        *given, texts = contexts(80_000, grams)
+        data = np.concatenate([*texts, np.zeros(8, np.uint8)])
+        assert peak_mb(lambda: suffix_dedup.repeated_windows(*given, data)) < 64
+
+
 def test_suffix_dedup_empty_table(documents):
     assert suffix_dedup.removed(documents()).collect() == []
 

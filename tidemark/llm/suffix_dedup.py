@@ -32,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.blocks import blocks, buckets_for, compressed, opened, packed, parts, unpacked
-from tidemark.llm.common import run_starts, stored
+from tidemark.llm.common import run_starts, slices, stored
 
 #: Bytes of a repeated string, and of the gram that its windows are told apart by first.
 DEPTH, GRAM = 50, 16
 WINDOW = DEPTH - GRAM + 1
 #: Places that are hashed at once. Their numbers take the lower bits where grams are compared.
-STRIP, STRIP_BITS = 1 << 20, 24
+STRIP, STRIP_BITS = 1 << 17, 24
+#: Windows that are sorted at once, unless one gram has more of them at one place.
+SORTED = 1 << 19
 HASH_BITS = 48
 LAST = (1 << 63) - 1
 REPEATED, MIXED = 1, 2
@@ -90,28 +92,37 @@ def least_places(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, borders: np.ndarray, hasher: Hasher) -> Anchors:
-    """Anchors of all windows that lie in one document each. ``borders`` are the documents' starts and the end."""
-    found = []
-    for begin in range(0, max(0, len(data) - DEPTH + 1), STRIP):
-        strip = data[begin:begin + STRIP + DEPTH - 1]
+    """Anchors of all windows that lie in one document each. ``borders`` are the documents' starts and the end.
+
+    They don't depend on the strips: an anchor that a strip's end may cut is found whole by the next one, which
+    begins there. An anchor has fewer windows than a strip, so each strip gets on.
+    """
+    found, begin, total = [], 0, len(data) - DEPTH + 1
+    while begin < total:
+        strip, own = data[begin:begin + STRIP + DEPTH - 1], begin
         hasher.read(strip)
         places = np.arange(len(strip) - GRAM + 1)
         grams = hasher.of(places, GRAM)
         keys = (grams >> np.uint64(STRIP_BITS) << np.uint64(STRIP_BITS)) | places.astype(np.uint64)
         least = (least_places(keys, WINDOW) & np.uint64((1 << STRIP_BITS) - 1)).astype(np.int64)
         start = np.arange(len(least))
-        document = np.searchsorted(borders, start + begin, side="right") - 1
-        whole = start + begin + DEPTH <= borders[document + 1]
+        document = np.searchsorted(borders, start + own, side="right") - 1
+        whole = start + own + DEPTH <= borders[document + 1]
+        begin += len(least)
+        cut = begin < total and whole[-1]
         start, least, document = start[whole], least[whole], document[whole]
         if not len(start):
             continue
         first = run_starts(least, document)
         count = np.diff(np.append(first, len(start)))
+        if cut:
+            begin = own + int(start[first[-1]])
+            first, count = first[:-1], count[:-1]
         start, place, document = start[first], least[first], document[first]
         ahead = place - start
         around = hasher.of(start, count + DEPTH - 1)
         around = _stir(around + ahead.astype(np.uint64) * np.uint64(ODD) + count.astype(np.uint64))
-        found.append((start + begin, count, ahead, document, grams[place] >> np.uint64(64 - HASH_BITS), around >> np.uint64(64 - HASH_BITS)))
+        found.append((start + own, count, ahead, document, grams[place] >> np.uint64(64 - HASH_BITS), around >> np.uint64(64 - HASH_BITS)))
     if not found:
         none = np.zeros(0, np.int64)
         return Anchors(none, none, none, none, none.astype(np.uint64), none.astype(np.uint64))
@@ -158,40 +169,44 @@ class Block:
         return found
 
 
-def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For each block's kinds in a bucket whether an earlier document has it, and whether its gram has others."""
-    gram = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in pdf["gram"]]
-    ends = np.cumsum([len(g) for g in gram])
-    gram, around = np.concatenate(gram), np.concatenate([unpacked(x, np.uint64) for x in pdf["around"]])
-    ids = np.concatenate([unpacked(x, np.int64) for x in pdf["ids"]])
+def flagged(gram: np.ndarray, around: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """For every kind whether it has a smaller id as well, and whether its gram has others."""
     order = np.lexsort((ids, around, gram))
     gram, around, ids = gram[order], around[order], ids[order]
     first = run_starts(gram, around)
     lowest = np.repeat(ids[first], np.diff(np.append(first, len(ids))))
-    flags = np.zeros(len(order), np.uint8)
     group = run_starts(gram[first])
     several = np.repeat(np.diff(np.append(group, len(first))) > 1, np.diff(np.append(first[group], len(ids))))
+    flags = np.zeros(len(order), np.uint8)
     flags[order] = REPEATED * (lowest < ids) + MIXED * several
-    return pd.DataFrame({
-        "block": pdf["block"], "bucket": pdf["bucket"],
-        "flags": [packed(f) for f in np.split(flags, ends[:-1])],
-    })
+    return flags
 
 
-def repeated_windows(gram: np.ndarray, ids: np.ndarray, ahead: np.ndarray, windows: np.ndarray, data: np.ndarray) -> np.ndarray:
-    """For every window of every context whether it starts in a context of a smaller id as well.
+def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+    """For each block's kinds in a bucket whether an earlier document has it, and whether its gram has others.
 
-    ``data`` has the contexts' bytes one behind the other. The sort's first digit is the gram and its place
-    in the window; each further digit is 8 bytes. After each pass groups of one are left out.
+    A block's kinds come in the order of grams, so they are settled by ranges of grams, each of about ``SORTED`` kinds.
     """
-    total = int(windows.sum())
-    owner = np.repeat(np.arange(len(gram)), windows)
-    within = np.arange(total) - np.repeat(np.cumsum(windows) - windows, windows)
-    sizes = windows + DEPTH - 1
-    start = (np.cumsum(sizes) - sizes)[owner] + within
-    padded = np.append(data, np.zeros(8, np.uint8))
-    digits = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    left, group = np.arange(total), pd.factorize(gram)[0][owner] * DEPTH + (ahead[owner] - within)
+    gram = [np.cumsum(unpacked(x, np.uint64), dtype=np.uint64) for x in pdf["gram"]]
+    around, ids = ([unpacked(x, k) for x in pdf[c]] for c, k in (("around", np.uint64), ("ids", np.int64)))
+    flags = [np.zeros(len(g), np.uint8) for g in gram]
+    ranges = 1 + sum(map(len, gram)) // SORTED
+    borders = np.arange(1, ranges, dtype=np.uint64) * np.uint64((1 << HASH_BITS) // ranges)
+    cuts = [[0, *np.searchsorted(g, borders).tolist(), len(g)] for g in gram]
+    for k in range(ranges):
+        some = [slice(c[k], c[k + 1]) for c in cuts]
+        found = flagged(*(np.concatenate([x[s] for x, s in zip(xs, some, strict=True)]) for xs in (gram, around, ids)))
+        for f, s, part in zip(flags, some, np.split(found, np.cumsum([s.stop - s.start for s in some])[:-1]), strict=True):
+            f[s] = part
+    return pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "flags": [packed(f) for f in flags]})
+
+
+def repeated(start: np.ndarray, group: np.ndarray, ids: np.ndarray, digits: np.ndarray) -> np.ndarray:
+    """For every window whether its bytes are in its group with a smaller id as well.
+
+    The sort's first digit is the group, each further one is 8 bytes. After each pass groups of one are left out.
+    """
+    left = np.arange(len(start))
     for depth in range(-8, DEPTH, 8):
         if depth < 0:
             digit = np.zeros(len(left), np.uint64)
@@ -205,20 +220,49 @@ def repeated_windows(gram: np.ndarray, ids: np.ndarray, ahead: np.ndarray, windo
         group = np.repeat(np.arange(len(first)), size)
         keep = np.repeat(size > 1, size)
         left, group = left[order][keep], group[keep]
-    found = np.zeros(total, bool)
+    found = np.zeros(len(start), bool)
     if len(left):
-        own = ids[owner[left]]
+        own = ids[left]
         lowest = np.full(group.max() + 1, LAST, np.int64)
         np.minimum.at(lowest, group, own)
         found[left] = lowest[group] < own
     return found
 
 
+def repeated_windows(gram: np.ndarray, ids: np.ndarray, ahead: np.ndarray, windows: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """For every window of every context whether it starts in a context of a smaller id as well.
+
+    ``data`` has the contexts' bytes one behind the other, and 8 more. Equal windows share the gram and its place in
+    them, so grams are sorted one after the other, as many at once as ``SORTED`` holds, and a larger one place by place.
+    """
+    sizes = windows + DEPTH - 1
+    number, byte = np.cumsum(windows) - windows, np.cumsum(sizes) - sizes
+    digits = np.lib.stride_tricks.sliding_window_view(data, 8)
+    found = np.zeros(int(windows.sum()), bool)
+    order = np.argsort(gram, kind="stable")
+    first = np.append(run_starts(gram[order]), len(order))
+    totals = np.diff(np.append(0, np.cumsum(windows[order]))[first])
+    for a, b in slices(totals, SORTED):
+        own, name = order[first[a]:first[b]], np.repeat(np.arange(b - a), np.diff(first[a:b + 1]))
+        if totals[a:b].sum() <= SORTED:
+            count = windows[own]
+            of = np.repeat(np.arange(len(own)), count)
+            within = np.arange(len(of)) - (np.cumsum(count) - count)[of]
+            own = own[of]
+            found[number[own] + within] = repeated(byte[own] + within, name[of] * DEPTH + ahead[own] - within, ids[own], digits)
+            continue
+        for place in range(WINDOW):
+            here = own[(ahead[own] >= place) & (ahead[own] - windows[own] < place)]
+            within = ahead[here] - place
+            found[number[here] + within] = repeated(byte[here] + within, np.zeros(len(here), np.int64), ids[here], digits)
+    return found
+
+
 def compare(pdf: pd.DataFrame) -> pd.DataFrame:
     """``repeated_windows`` over all contexts of a bucket, given back to their blocks."""
     columns = {c: [unpacked(x, k) for x in pdf[c]] for c, k in (("gram", np.uint64), ("ids", np.int64), ("ahead", np.uint8), ("windows", np.uint8))}
     whole = {c: np.concatenate(x) for c, x in columns.items()}
-    data = np.concatenate([np.frombuffer(opened(x), np.uint8) for x in pdf["data"]])
+    data = np.frombuffer(b"".join([*map(opened, pdf["data"]), bytes(8)]), np.uint8)
     windows = whole["windows"].astype(np.int64)
     found = repeated_windows(whole["gram"], whole["ids"], whole["ahead"].astype(np.int64), windows, data)
     ends = np.cumsum([int(w.astype(np.int64).sum()) for w in columns["windows"]])
@@ -277,7 +321,7 @@ def removed(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         # Of each anchor, what of its windows is repeated: all, none, or as the comparison found.
         hit = (flags[kinds.kind] & REPEATED > 0) | (block.ids[a.document[kinds.order]] > block.ids[a.document[kinds.first]][kinds.kind])
         ends = a.start + a.windows
-        change = np.zeros(len(block.data) + 1, np.int64)
+        change = np.zeros(len(block.data) + 1, np.int32)
         whole = kinds.order[hit]
         np.add.at(change, a.start[whole], 1)
         np.add.at(change, ends[whole] + DEPTH - 1, -1)
@@ -294,7 +338,7 @@ def removed(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
                 starts = a.start[kinds.order[place]] + np.flatnonzero(found)
                 np.add.at(change, starts, 1)
                 np.add.at(change, starts + DEPTH, -1)
-        covered = np.cumsum(change[:-1]) > 0
+        covered = np.cumsum(change[:-1], dtype=np.int32) > 0
         result = []
         for id_, s, e in zip(block.given, block.borders[:-1].tolist(), block.borders[1:].tolist(), strict=True):
             gone = covered[s:e]
