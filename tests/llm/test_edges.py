@@ -1,6 +1,7 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tidemark.llm import (
-    bpe, language_id, link_trust, lm_scoring, minhash, mixing, near_vectors, personal_data, suffix_dedup, top_k,
+    bpe, language_id, link_trust, lm_scoring, minhash, mixing, near_vectors, personal_data, queries, suffix_dedup, top_k,
 )
 from tidemark.llm.blocks import packed, unpacked
 from tidemark.llm.common import remainder
@@ -317,6 +318,60 @@ def test_lm_weights_learn(documents, monkeypatch):
     assert taught < 0.99 * lm_scoring.score(df.repartition(3), learn).agg(unseen).first()[0]
 
 
+def test_lm_all_documents_teach(documents, spark, tmp_path, monkeypatch):
+    """The query's weights learn from every training document, so also where none has a hash that stands for one in many."""
+    rows = [(k, " ".join(f"word{(k * 37 + j * j) % 211} and {DE.split()[(k + j) % 14]}" for j in range(60))) for k in range(500)]
+    df = documents(*rows).filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(lm_scoring.TUNED)) != 0)
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    unseen = F.avg(F.when(F.col("held_out"), F.col("bits_per_byte")))
+    taught = queries.QUERIES["op4_lm_scoring"](spark, str(tmp_path)).agg(unseen).first()[0]
+    monkeypatch.setattr(lm_scoring, "ROUNDS", 0)
+    assert taught < 0.99 * queries.QUERIES["op4_lm_scoring"](spark, str(tmp_path)).agg(unseen).first()[0]
+
+
+def test_lm_left_out():
+    """Steps and levels without a document's own occurrences of a pair are those of plain counts, in tables too."""
+    rnd = np.random.default_rng(8)
+    keys = np.unique(rnd.integers(0, 40, 900) << 8 | rnd.integers(97, 117, 900))
+    counts = rnd.integers(0, 30, len(keys))
+    for again in (np.zeros(len(keys), int), rnd.integers(0, counts + 1)):
+        steps, levels = lm_scoring.left_steps(keys, counts, again)
+        table = lm_scoring.left_table(np.bincount(keys, counts, 40 << 8).astype(np.int64).reshape(-1, 256))
+        for key, n, a, step, level in zip(keys.tolist(), counts.tolist(), again.tolist(), steps, levels.tolist(), strict=True):
+            left = n if n == a else round(n / (n - a))
+            of = lambda bits: sum(m for k, m in zip(keys.tolist(), counts.tolist()) if k >> bits == key >> bits)
+            for place in range(8):
+                total, taken = of(8 - place), of(7 - place)
+                want = math.log((taken - left + lm_scoring.PRIOR) / (total - taken + lm_scoring.PRIOR))
+                assert abs(step[place] - max(-127, min(127, lm_scoring.SCALE * want))) < 0.51
+                assert level >> 2 * place & 3 == min(3, int(math.log2(total - left + 1) / 2))
+                if n and not a:
+                    assert step[place] == table[key >> 8, 2 << place | (key & 255) >> 7 - place]
+
+
+def test_lm_bits_teach_once(monkeypatch):
+    """Each different bit is listed once, with all its occurrences, and online steps have all of them."""
+    rnd = np.random.default_rng(9)
+    x = [rnd.integers(-1, 2, (700, 8)).astype(np.int8) for _ in range(2)]
+    gate, pairs, times = rnd.integers(0, 2, (700, 8)).astype(np.uint8), rnd.integers(97, 100, 700) << 8 | rnd.integers(0, 256, 700), rnd.integers(1, 9, 700)
+    bits, often = lm_scoring.same_bits(x, gate, pairs, times)
+    want = Counter()
+    for place, k in itertools.product(range(8), range(700)):
+        want[pairs[k] >> 8 & 255, gate[k, place] << 1 | pairs[k] >> 7 - place & 1, *(s[k, place] for s in x), place] += times[k]
+    got = Counter()
+    for row, n in zip(bits.view(np.uint8).reshape(-1, 8), often.tolist(), strict=True):
+        got[row[5], row[6], *row[4:2:-1].view(np.int8)] += n
+    merged = Counter()
+    for key, n in want.items():
+        merged[key[:-1]] += n
+    assert got == merged and len(bits) == len(want) < 5600
+    for pieces in (500, 1 << 19):
+        monkeypatch.setattr(lm_scoring, "PIECES", pieces)
+        order, share, steps = lm_scoring.dealt(often)
+        assert np.allclose(np.bincount(order, share, len(often)), often) and share.max() <= max(1, often.sum() / pieces) + 1e-6
+        assert [k for own in steps for k in range(own.start, own.stop)] == list(range(len(order)))
+
+
 def test_lm_units(monkeypatch):
     """Pairs, their counts and the bytes' order are those of plain loops over the bytes, also if parts are cut within documents."""
     rnd = np.random.default_rng(5)
