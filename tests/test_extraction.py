@@ -49,6 +49,38 @@ PIECES = [
 ]
 
 
+PLAIN = [
+    "<p class='a'>", "<P CLASS=\"a\" b>", "</p>", "</P >", "<p>", "<br>", "<br/>", "<img src='x' alt=\"it's\" />", "<svg/>", "<h1>", "</h1>",
+    "x", " ", "\n", ">", "'", '"', "&amp;", "&copy", "&", "\0", "<!-- x -->", "<!DOCTYPE html>", "<a href='?a=1'>", "</a>", "<i a='1' A='2'\t>",
+]
+
+
+def tree(node):
+    return node.tag, node.attrs, [c if isinstance(c, str) else tree(c) for c in node.children]
+
+
+def test_plain_markup_needs_no_parser(monkeypatch):
+    """Plain pages are read without the tolerant parser, as other pages cannot be, to the tree that it makes."""
+    rnd, blocks, read = random.Random(2), H._Blocks, []
+
+    class Counted(blocks):
+        def __init__(self, wanted):
+            super().__init__(wanted)
+            read.append(wanted)
+
+    monkeypatch.setattr(H, "_Blocks", Counted)
+    for k in range(6000):
+        html = "".join(rnd.choice(PLAIN if k % 2 else PLAIN + PIECES) for _ in range(rnd.randint(1, 12)))
+        for wanted in (None, {"p": "a"}, {"h1": None, "p": "a"}):
+            del read[:]
+            page = H.read_page(html, wanted)
+            assert not read or k % 2 == 0, html
+            reader = blocks(wanted)
+            reader.feed(html)
+            reader.close()
+            assert tree(page) == tree(reader.page), html
+
+
 def test_find_stays_inside_the_element():
     page = H.read_page("<div class='a b'><p>1<p>2</div><p>3</p><div class='ab'><p>4</p></div>")
     first = page.find("div", css="a")
